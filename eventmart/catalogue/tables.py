@@ -99,4 +99,5 @@ user_changes as (
 
 def with_sql(*views: str, query: str) -> str:
     """Joins the view texts and a query into one statement."""
-    return "with " + ",".join(views) + "\n" + query
+    text = query.lstrip()
+    return "with " + ",".join(views) + (text if text.startswith(",") else "\n" + text)

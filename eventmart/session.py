@@ -15,6 +15,7 @@ def local_session(cpus: str = "*", app: str = "eventmart", **conf: str) -> Spark
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-", dir="/tmp"),
     }
