@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True)) if not conditions else reduce(lambda a, b: a & b, conditions)
+    return reduce(lambda a, b: a & b, conditions) if conditions else F.lit(True)
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
