@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.catalogue import marts
+from eventmart.catalogue import changes, checks, marts
 
-MODULES = (marts,)
+MODULES = (marts, checks, changes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

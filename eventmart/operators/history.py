@@ -19,6 +19,9 @@ from eventmart.operators.ordering import (
 )
 from eventmart.schemas import AUDIT_COLUMNS
 
+BUCKET = "key_bucket"
+BUCKETS = 64
+
 
 def scd2(
     changes: DataFrame,
@@ -71,6 +74,20 @@ def current_rows(history: DataFrame) -> DataFrame:
     return history.filter(F.col("valid_to").isNull())
 
 
+def rebuild_keys(
+    target: DataFrame | None,
+    staged: DataFrame,
+    touched: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str | Sequence[str],
+    track: Sequence[str] | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The history after the distinct ``touched`` keys are rebuilt from the staged changes."""
+    rebuilt = scd2(of_keys(staged, touched, keys), keys, sequence_by, track, hot_rows)
+    return rebuilt if target is None else replace_keys(target, rebuilt, touched, keys)
+
+
 def scd2_apply(
     target: DataFrame | None,
     staged: DataFrame,
@@ -86,5 +103,9 @@ def scd2_apply(
     which already hold the batch. Doing it twice gives the same history.
     """
     touched = batch.select(*keys).distinct()
-    rebuilt = scd2(of_keys(staged, touched, keys), keys, sequence_by, track, hot_rows)
-    return rebuilt if target is None else replace_keys(target, rebuilt, touched, keys)
+    return rebuild_keys(target, staged, touched, keys, sequence_by, track, hot_rows)
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Adds the hash bucket of the key, the partition column of staged changes and histories."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))

@@ -24,6 +24,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Marks a stored DataFrame for broadcast if it has at most ``max_rows`` rows.
+
+    Runs a count, so pass a checkpoint or a table scan of a few narrow columns.
+    Larger ones are returned as they are and joined by shuffle.
+    """
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df
+
+
 def interval_overlap_join(
     left: DataFrame,
     right: DataFrame,

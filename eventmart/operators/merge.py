@@ -30,8 +30,8 @@ def assert_unique(df: DataFrame, keys: Sequence[str], nulls_equal: bool = True)
 
 def _without(target: DataFrame, found: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     if null_safe:
-        return null_safe_join(target, found.select(*keys), keys, "left_anti")
-    return target.join(found.select(*keys), list(keys), "left_anti")
+        return null_safe_join(target, found, keys, "left_anti")
+    return target.join(found, list(keys), "left_anti")
 
 
 def merge_upsert(
@@ -50,7 +50,7 @@ def merge_upsert(
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate is 'error' or 'keep'")
     checked = assert_unique(source, keys, null_safe) if on_duplicate == "error" else source
-    return _without(target, source, keys, null_safe).unionByName(checked.select(*target.columns))
+    return _without(target, source.select(*keys), keys, null_safe).unionByName(checked.select(*target.columns))
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -134,7 +134,7 @@ def rule_outcomes(
     reports = top_per_group(
         expectation_records(event_log),
         [*run, "dataset", "expectations_name"] if match_dataset else [*run, "expectations_name"],
-        [F.desc(F.expr("try_cast(total_rows as bigint)")), F.desc("passed_records"), F.desc("failed_records")],
+        [F.expr(f"try_cast({c} as bigint)").desc() for c in ("total_rows", "passed_records", "failed_records")],
     )
     flows = flow_names(event_log)
     if match_dataset:
@@ -230,7 +230,7 @@ def run_cost(
 
 
 def _growth_row(stats: DataFrame, names: Sequence[str | None], num_rows: Column | DataFrame, snapshot) -> DataFrame:
-    labelled = stats.select(
+    return stats.select(
         *[F.lit(n).cast("string").alias(c) for n, c in zip(names, ("table_catalog", "table_schema", "table_name"))],
         (num_rows.scalar() if isinstance(num_rows, DataFrame) else num_rows).cast("long").alias("num_rows"),
         "num_files",
@@ -239,7 +239,6 @@ def _growth_row(stats: DataFrame, names: Sequence[str | None], num_rows: Column
         "last_modified",
         (F.col("created_at") if snapshot is None else _at(snapshot).cast("timestamp")).alias("snapshot_date"),
     )
-    return labelled
 
 
 def folder_growth(spark: SparkSession, folders: dict[str, str], snapshot=None) -> DataFrame:

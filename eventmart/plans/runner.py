@@ -15,13 +15,15 @@ from eventmart.operators.incremental import (
     of_keys,
     watermark_value,
 )
-from eventmart.operators.merge import merge_upsert, replace_keys
+from eventmart.operators.joins import broadcast_if_small
+from eventmart.operators.merge import erase_subjects, merge_upsert, replace_keys
 from eventmart.plans import ads as ad_plans
 from eventmart.plans import anomalies, content, hourly, sessions
 from eventmart.session import ensure_checkpoint_dir
 from eventmart.sources.catalog import (
     delete_rows,
     drop_table,
+    finish_swap,
     replace_table,
     table_exists,
     upsert_table,
@@ -85,18 +87,20 @@ def anomaly_mart(**options) -> Mart:
     )
 
 
+def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str = LATE) -> DataFrame:
+    """Slice keys with a row past the watermark in any source."""
+    slices = [incremental_slice(mart.prepare(s), watermark, late=late) for s in sources]
+    return affected_keys(slices, mart.slice_keys)
+
+
 def refresh_rows(
-    mart: Mart, target: DataFrame | None, sources: Sequence[DataFrame], watermark, late: str = LATE
+    mart: Mart, target: DataFrame, sources: Sequence[DataFrame], touched: DataFrame
 ) -> DataFrame:
-    """The mart after the slice past ``watermark`` is taken in.
+    """The mart after the touched keys are computed again from their whole history.
 
-    Touched keys are computed again from their whole history, so totals do not
-    shrink to the slice and a repeated run changes nothing.
+    Totals do not shrink to the slice, and a repeated run changes nothing.
     """
     ready = [mart.prepare(s) for s in sources]
-    if target is None or watermark is None:
-        return mart.build(*ready)
-    touched = affected_keys([incremental_slice(s, watermark, late=late) for s in ready], mart.slice_keys)
     rows = mart.build(*[of_keys(s, touched, mart.slice_keys) for s in ready])
     if mart.replaces:
         merged = replace_keys(target, rows, touched, mart.slice_keys)
@@ -123,6 +127,8 @@ def run_mart(
     """
     if refresh not in ("incremental", "full"):
         raise ValueError("refresh is 'incremental' or 'full'")
+    for table in (target_table, watermark_table):
+        finish_swap(spark, table)
     if refresh == "full":
         drop_table(spark, target_table)
         if table_exists(spark, watermark_table):
@@ -133,8 +139,13 @@ def run_mart(
     newest = [s.agg(F.max("updated_at")).take(1)[0][0] for s in sources]
     reached = max((t for t in newest if t is not None), default=None)
 
-    target = spark.table(target_table) if table_exists(spark, target_table) else None
-    rows = refresh_rows(mart, target, sources, watermark, late)
+    if watermark is None or not table_exists(spark, target_table):
+        rows = mart.build(*[mart.prepare(s) for s in sources])
+    else:
+        # Used several times; stored once, and sent to all tasks only if small.
+        ensure_checkpoint_dir(spark)
+        touched = broadcast_if_small(touched_keys(mart, sources, watermark, late).checkpoint())
+        rows = refresh_rows(mart, spark.table(target_table), sources, touched)
     replace_table(rows, target_table)
     if reached is not None:
         row = spark.createDataFrame([(name, reached)], "entity_name string, watermark_value timestamp")
@@ -143,10 +154,8 @@ def run_mart(
 
 def erase_from_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], subjects: DataFrame, key: str) -> None:
     """Rewrites each (table, subject column) without the subjects, in the order given."""
-    from eventmart.operators.merge import erase_subjects
-
     ensure_checkpoint_dir(spark)
-    gone = subjects.select(key).distinct().checkpoint()
+    gone = broadcast_if_small(subjects.select(key).distinct().checkpoint())
     for table, column in tables:
         kept = erase_subjects({table: (spark.table(table), column)}, gone, key)[table]
         replace_table(kept, table)

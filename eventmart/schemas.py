@@ -30,7 +30,7 @@ AUDIT = (
 )
 
 ENTITIES = {"events": EVENTS_SILVER, "users": USERS_SILVER, "ads": ADS_SILVER}
-AUDIT_COLUMNS = StructType.fromDDL(AUDIT).fieldNames()
+AUDIT_COLUMNS = [part.split()[0] for part in AUDIT.split(", ")]
 
 
 def source_schema(entity: str) -> StructType:

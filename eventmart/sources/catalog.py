@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.operators.joins import all_of
-from eventmart.operators.merge import assert_unique, merge_upsert
+from eventmart.operators.joins import all_of, broadcast_if_small
+from eventmart.operators.merge import assert_unique, delete_where, merge_upsert
 from eventmart.session import ensure_checkpoint_dir
 
 # Formats whose tables Spark can change by row.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
+# Suffix of a table being written to replace another.
+NEXT = "__next"
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -47,10 +49,18 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     The rows are written beside it, then the names are swapped.
     """
     spark = df.sparkSession
-    fresh = f"{table}__next"
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(fresh)
+    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(f"{table}{NEXT}")
     drop_table(spark, table)
-    spark.sql(f"alter table {fresh} rename to {table.split('.')[-1] if '.' not in table else table}")
+    finish_swap(spark, table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """Completes a replacement that stopped between the drop and the rename.
+
+    The new table enters the catalog only when it is written in full.
+    """
+    if not table_exists(spark, table) and table_exists(spark, f"{table}{NEXT}"):
+        spark.sql(f"alter table {table}{NEXT} rename to {table}")
 
 
 def table_details(spark: SparkSession, table: str) -> DataFrame:
@@ -86,6 +96,7 @@ def upsert_table(
     spark = source.sparkSession
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be merge keys, else a row could move away from its match")
+    finish_swap(spark, table)
     if not table_exists(spark, table):
         assert_unique(source, keys, null_safe).write.partitionBy(*partition_by).saveAsTable(table)
         return
@@ -107,7 +118,7 @@ def upsert_table(
     if not partition_by:
         replace_table(merge_upsert(target, rows, keys, null_safe), table)
         return
-    touched = rows.select(*partition_by).distinct()
+    touched = broadcast_if_small(rows.select(*partition_by).distinct())
     same = all_of([target[c].eqNullSafe(touched[c]) for c in partition_by])
     merged = merge_upsert(target.join(touched, same, "left_semi"), rows, keys, null_safe)
     overwrite_partitions(merged, table)
@@ -115,14 +126,18 @@ def upsert_table(
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replaces exactly the partitions present in ``df``; they may be read from the table itself."""
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    spark = df.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def delete_rows(spark: SparkSession, table: str, condition: Column) -> None:
     """Deletes the rows for which the condition is true."""
-    from eventmart.operators.merge import delete_where
-
     replace_table(delete_where(spark.table(table), condition), table)
 
 

@@ -9,16 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventmart.operators.history import scd2_apply
+from eventmart.operators.history import BUCKET, BUCKETS, rebuild_keys, with_bucket
+from eventmart.operators.joins import broadcast_if_small
 from eventmart.session import ensure_checkpoint_dir
 from eventmart.sources.catalog import overwrite_partitions, table_exists
 
-BUCKET = "key_bucket"
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
 
 def apply_batch(
     batch: DataFrame,
@@ -27,23 +22,31 @@ def apply_batch(
     keys: Sequence[str],
     sequence_by: str | Sequence[str],
     track: Sequence[str] | None = None,
-    buckets: int = 64,
+    buckets: int = BUCKETS,
 ) -> None:
     """Takes one micro-batch into the history table.
 
     The table is partitioned by a hash bucket of the key; only buckets with a
-    key of the batch are read and rewritten. Running it again changes nothing.
+    key of the batch are read and rewritten. The same goes for ``staged`` if it
+    has that partition column. Running it again changes nothing.
     """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
-    touched = _bucketed(batch.select(*keys).distinct(), keys, buckets).checkpoint()
-    if not table_exists(spark, table):
-        fresh = scd2_apply(None, staged, touched, keys, sequence_by, track)
-        _bucketed(fresh, keys, buckets).write.partitionBy(BUCKET).saveAsTable(table)
-        return
-    old = spark.table(table).join(touched.select(BUCKET).distinct(), BUCKET, "left_semi")
-    history = scd2_apply(old.drop(BUCKET), staged, touched, keys, sequence_by, track)
-    overwrite_partitions(_bucketed(history, keys, buckets), table)
+    stored = with_bucket(batch.select(*keys).distinct(), keys, buckets).checkpoint()
+    touched = broadcast_if_small(stored.select(*keys))
+    # At most ``buckets`` rows; Spark prunes partitions by them.
+    used = F.broadcast(stored.select(BUCKET).distinct())
+    if BUCKET in staged.columns:
+        staged = staged.join(used, BUCKET, "left_semi").drop(BUCKET)
+    exists = table_exists(spark, table)
+    old = spark.table(table).join(used, BUCKET, "left_semi").drop(BUCKET) if exists else None
+    history = with_bucket(rebuild_keys(old, staged, touched, keys, sequence_by, track), keys, buckets)
+    # One task per bucket and piece of it, so that a bucket is a few files.
+    history = history.repartition(BUCKET, F.pmod(F.xxhash64(*keys, "valid_from"), F.lit(8)))
+    if exists:
+        overwrite_partitions(history, table)
+    else:
+        history.write.partitionBy(BUCKET).saveAsTable(table)
 
 
 def run_history(
@@ -57,7 +60,7 @@ def run_history(
     track: Sequence[str] | None = None,
     continuous: str | None = None,
     files_per_trigger: int | None = None,
-    buckets: int = 64,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Streams the staged folder into the history table, one micro-batch at a time."""
     reader = spark.readStream.schema(schema)

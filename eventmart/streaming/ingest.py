@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from eventmart.operators.history import BUCKET, with_bucket
 from eventmart.operators.quality import Rule, clean
 from eventmart.sources.landing import read_landing_csv, read_landing_json
 
@@ -60,12 +61,16 @@ def clean_folder(
     checkpoint: str,
     observation_name: str | None = None,
     continuous: str | None = None,
-    partition_by: Sequence[str] = (),
+    bucket_keys: Sequence[str] = (),
 ) -> StreamingQuery:
     """Bronze folder to silver folder with the same rules as the batch path.
 
     Warn counters reach listeners as an observed metric of each progress event.
+    With ``bucket_keys`` the silver folder is partitioned by their hash bucket,
+    as staged changes for a history should be.
     """
     stream = spark.readStream.schema(bronze_schema).parquet(bronze)
     cleaned = clean(stream, silver_schema, rules, observation_name)
-    return run_ingest(cleaned, silver, checkpoint, continuous, partition_by)
+    if bucket_keys:
+        cleaned = with_bucket(cleaned, bucket_keys)
+    return run_ingest(cleaned, silver, checkpoint, continuous, [BUCKET] if bucket_keys else ())
