@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.catalogue import changes, checks, marts
+from eventmart.catalogue import changes, checks, ingestion, marts, monitoring
 
-MODULES = (marts, checks, changes)
+MODULES = (marts, checks, changes, monitoring, ingestion)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -23,12 +23,14 @@ def apply_batch(
     sequence_by: str | Sequence[str],
     track: Sequence[str] | None = None,
     buckets: int = BUCKETS,
+    location: str | None = None,
 ) -> None:
     """Takes one micro-batch into the history table.
 
     The table is partitioned by a hash bucket of the key; only buckets with a
     key of the batch are read and rewritten. The same goes for ``staged`` if it
-    has that partition column. Running it again changes nothing.
+    has that partition column. Running it again changes nothing. ``location``
+    is where a new table's files go, if not to the warehouse.
     """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
@@ -46,7 +48,8 @@ def apply_batch(
     if exists:
         overwrite_partitions(history, table)
     else:
-        history.write.partitionBy(BUCKET).saveAsTable(table)
+        writer = history.write.partitionBy(BUCKET)
+        (writer.option("path", location) if location else writer).saveAsTable(table)
 
 
 def run_history(
@@ -61,6 +64,7 @@ def run_history(
     continuous: str | None = None,
     files_per_trigger: int | None = None,
     buckets: int = BUCKETS,
+    location: str | None = None,
 ) -> StreamingQuery:
     """Streams the staged folder into the history table, one micro-batch at a time."""
     reader = spark.readStream.schema(schema)
@@ -69,7 +73,7 @@ def run_history(
 
     def take_in(batch: DataFrame, _: int) -> None:
         staged = batch.sparkSession.read.schema(schema).parquet(staged_folder)
-        apply_batch(batch, staged, table, keys, sequence_by, track, buckets)
+        apply_batch(batch, staged, table, keys, sequence_by, track, buckets, location)
 
     writer = reader.parquet(staged_folder).writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
