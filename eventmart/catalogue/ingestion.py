@@ -16,6 +16,7 @@ from eventmart.operators.history import BUCKET
 from eventmart.operators.quality import accepted, rejected, Rule
 from eventmart.schemas import AUDIT
 from eventmart.session import shared_folder
+from eventmart.sources.catalog import read_table
 from eventmart.sources.landing import (
     export_files,
     landing_counts,
@@ -128,7 +129,7 @@ def _stream_history(spark, sf):
         spark, staged, changes.schema, name, f"{root}/cp", ["user_id"], ["ts", "event_id"], ["event_type"],
         files_per_trigger=1, buckets=4, location=f"{root}/history",
     ).awaitTermination()
-    return spark.table(name).drop(BUCKET)
+    return read_table(spark, name).drop(BUCKET)
 
 
 QUERIES = {

@@ -24,6 +24,7 @@ from eventmart.sources.catalog import (
     delete_rows,
     drop_table,
     finish_swap,
+    read_table,
     replace_table,
     table_exists,
     upsert_table,
@@ -134,8 +135,8 @@ def run_mart(
         if table_exists(spark, watermark_table):
             delete_rows(spark, watermark_table, F.col("entity_name") == name)
     known = table_exists(spark, watermark_table)
-    watermark = watermark_value(spark.table(watermark_table), name) if known else None
-    sources = [spark.table(t) for t in source_tables]
+    watermark = watermark_value(read_table(spark, watermark_table), name) if known else None
+    sources = [read_table(spark, t) for t in source_tables]
     newest = [s.agg(F.max("updated_at")).take(1)[0][0] for s in sources]
     reached = max((t for t in newest if t is not None), default=None)
 
@@ -145,7 +146,7 @@ def run_mart(
         # Used several times; stored once, and sent to all tasks only if small.
         ensure_checkpoint_dir(spark)
         touched = broadcast_if_small(touched_keys(mart, sources, watermark, late).checkpoint())
-        rows = refresh_rows(mart, spark.table(target_table), sources, touched)
+        rows = refresh_rows(mart, read_table(spark, target_table), sources, touched)
     replace_table(rows, target_table)
     if reached is not None:
         row = spark.createDataFrame([(name, reached)], "entity_name string, watermark_value timestamp")
@@ -157,5 +158,5 @@ def erase_from_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], su
     ensure_checkpoint_dir(spark)
     gone = broadcast_if_small(subjects.select(key).distinct().checkpoint())
     for table, column in tables:
-        kept = erase_subjects({table: (spark.table(table), column)}, gone, key)[table]
+        kept = erase_subjects({table: (read_table(spark, table), column)}, gone, key)[table]
         replace_table(kept, table)

@@ -21,6 +21,12 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, also if another session (such as a stream's) rewrote its files."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def table_names(spark: SparkSession, database: str | None = None, prefix: str = "") -> DataFrame:
     """Names of a database's tables that start with ``prefix``, as a DataFrame."""
     clause = f" in {database}" if database else ""
@@ -114,7 +120,7 @@ def upsert_table(
     # The merge reads the source twice; a checkpoint keeps its plan from running twice.
     ensure_checkpoint_dir(spark)
     rows = source.checkpoint()
-    target = spark.table(table)
+    target = read_table(spark, table)
     if not partition_by:
         replace_table(merge_upsert(target, rows, keys, null_safe), table)
         return
@@ -138,7 +144,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
 
 def delete_rows(spark: SparkSession, table: str, condition: Column) -> None:
     """Deletes the rows for which the condition is true."""
-    replace_table(delete_where(spark.table(table), condition), table)
+    replace_table(delete_where(read_table(spark, table), condition), table)
 
 
 def file_stats(spark: SparkSession, folder: str) -> DataFrame:

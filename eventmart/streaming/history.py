@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from eventmart.operators.history import BUCKET, BUCKETS, rebuild_keys, with_bucket
 from eventmart.operators.joins import broadcast_if_small
 from eventmart.session import ensure_checkpoint_dir
-from eventmart.sources.catalog import overwrite_partitions, table_exists
+from eventmart.sources.catalog import overwrite_partitions, read_table, table_exists
 
 
 def apply_batch(
@@ -41,7 +41,7 @@ def apply_batch(
     if BUCKET in staged.columns:
         staged = staged.join(used, BUCKET, "left_semi").drop(BUCKET)
     exists = table_exists(spark, table)
-    old = spark.table(table).join(used, BUCKET, "left_semi").drop(BUCKET) if exists else None
+    old = read_table(spark, table).join(used, BUCKET, "left_semi").drop(BUCKET) if exists else None
     history = with_bucket(rebuild_keys(old, staged, touched, keys, sequence_by, track), keys, buckets)
     # One task per bucket and piece of it, so that a bucket is a few files.
     history = history.repartition(BUCKET, F.pmod(F.xxhash64(*keys, "valid_from"), F.lit(8)))
