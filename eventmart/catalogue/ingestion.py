@@ -39,9 +39,13 @@ RAW_EVENTS = _text_schema(*EVENT_FIELDS)
 def _lines(spark, sf):
     """Events as landing text: good records, records with an unknown or misfit field, and non-JSON."""
     e = table(spark, sf, "events")
-    good = F.format_string('{"event_id":"%d","user_id":"%d","kind":"%s"}', "event_id", "user_id", "event_type")
-    extra = F.format_string('{"event_id":"%d","user_id":"%d","kind":"%s","note":%s}', "event_id", "user_id", "event_type", "props")
-    misfit = F.format_string('{"event_id":"%d","user_id":"u%d","kind":"%s"}', "event_id", "user_id", "event_type")
+    def record(user, *rest):
+        return F.concat(
+            F.lit('{"event_id":"'), "event_id", F.lit(f'","user_id":"{user}'), "user_id",
+            F.lit('","kind":"'), "event_type", F.lit('"'), *rest, F.lit("}"),
+        )
+
+    good, misfit, extra = record(""), record("u"), record("", F.lit(',"note":'), "props")
     kind = F.col("event_type")
     return e.select(
         F.when(kind == "error", F.concat(F.lit("not json "), "props"))

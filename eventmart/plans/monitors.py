@@ -17,12 +17,13 @@ from eventmart.operators.joins import interval_overlap_join
 from eventmart.operators.ordering import top_per_group
 from eventmart.sources.catalog import file_stats, table_details
 
-# Event kinds and JSON paths of the pipeline event log.
+# Event kinds of the pipeline event log and the parts of its JSON details.
 FLOW_EVENTS = ["flow_progress", "flow_definition"]
-FLOW_NAME = "$.flow_definition.output_dataset"
-EXPECTATIONS = "$.flow_progress.data_quality.expectations"
-OUTPUT_ROWS = "$.flow_progress.metrics.num_output_rows"
-EXPECTATION_TYPE = "array<struct<name:string,dataset:string,passed_records:string,failed_records:string>>"
+FLOW_TYPE = "flow_definition struct<output_dataset:string>"
+PROGRESS_TYPE = (
+    "flow_progress struct<metrics:struct<num_output_rows:string>, data_quality:struct<expectations:"
+    "array<struct<name:string,dataset:string,passed_records:string,failed_records:string>>>>"
+)
 BILLED_PRODUCT = "DLT"
 
 
@@ -74,15 +75,21 @@ def run_health(
     )
 
 
+def _with_details(event_log: DataFrame, details_type: str) -> DataFrame:
+    """Run, pipeline and the wanted parts of the JSON details, parsed once."""
+    return event_log.select(
+        F.col("origin.request_id").alias("update_id"),
+        F.col("origin.pipeline_name").alias("pipeline_name"),
+        F.from_json("details", details_type).alias("d"),
+    )
+
+
 def flow_names(event_log: DataFrame) -> DataFrame:
     """Distinct output datasets per run, from the log's flow events."""
+    flows = _with_details(event_log.filter(F.col("event_type").isin(FLOW_EVENTS)), FLOW_TYPE)
+    # Generated, so that the null filter does not repeat the parsing below it.
     return (
-        event_log.filter(F.col("event_type").isin(FLOW_EVENTS))
-        .select(
-            F.col("origin.request_id").alias("update_id"),
-            F.col("origin.pipeline_name").alias("pipeline_name"),
-            F.get_json_object("details", FLOW_NAME).alias("flow_name"),
-        )
+        flows.select("update_id", "pipeline_name", F.explode(F.array("d.flow_definition.output_dataset")).alias("flow_name"))
         .filter(F.col("flow_name").isNotNull())
         .distinct()
     )
@@ -91,13 +98,13 @@ def flow_names(event_log: DataFrame) -> DataFrame:
 def expectation_records(event_log: DataFrame) -> DataFrame:
     """One row per expectation reported in the log, with its counters."""
     return (
-        event_log.select(
-            F.col("origin.request_id").alias("update_id"),
-            F.col("origin.pipeline_name").alias("pipeline_name"),
-            F.from_json(F.get_json_object("details", EXPECTATIONS), EXPECTATION_TYPE).alias("found"),
-            F.get_json_object("details", OUTPUT_ROWS).alias("total_rows"),
+        _with_details(event_log, PROGRESS_TYPE)
+        .select(
+            "update_id",
+            "pipeline_name",
+            F.col("d.flow_progress.metrics.num_output_rows").alias("total_rows"),
+            F.inline("d.flow_progress.data_quality.expectations"),
         )
-        .select("update_id", "pipeline_name", "total_rows", F.inline("found"))
         .withColumnRenamed("name", "expectations_name")
         .filter(F.col("expectations_name").isNotNull())
     )

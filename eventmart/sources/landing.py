@@ -32,31 +32,30 @@ def rescue(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame
     line is parsed once, to a map.
     """
     known = [f.name for f in schema]
-    parsed = df.filter(F.length(F.trim(value)) > 0).withColumn(
-        "__fields", F.from_json(value, "map<string,string>")
-    )
     raw = {f.name: F.try_element_at("__fields", F.lit(f.name)) for f in schema}
     typed = {
         f.name: raw[f.name] if isinstance(f.dataType, StringType) else raw[f.name].try_cast(f.dataType)
         for f in schema
     }
-    unfit = F.array_compact(
-        F.array(
-            *[
-                F.when(raw[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
-                for f in schema
-                if not isinstance(f.dataType, StringType)
-            ]
-        ).cast("array<string>")
-    )
-    names = F.array(*[F.lit(n) for n in known])
-    extra = F.map_filter(
-        "__fields", lambda k, _: ~F.array_contains(names, k) | F.array_contains(unfit, k)
-    )
-    rescued = F.when(F.col("__fields").isNull(), F.col(value)).when(F.size(extra) > 0, F.to_json(extra))
-    others = [c for c in df.columns if c != value and c not in known]
-    return parsed.select(
-        *[typed[n].alias(n) for n in known], *[f"`{c}`" for c in others], rescued.alias(RESCUED)
+    misfits = [
+        F.when(raw[n].isNotNull() & typed[n].isNull(), F.lit(n))
+        for n, f in zip(known, schema)
+        if not isinstance(f.dataType, StringType)
+    ]
+    unknown = F.array_except(F.map_keys("__fields"), F.array(*[F.lit(n) for n in known]))
+    odd = F.concat(unknown, F.array_compact(F.array(*misfits))) if misfits else unknown
+    kept = F.to_json(F.map_filter("__fields", lambda k, _: F.array_contains("__odd", k)))
+    others = [f"`{c}`" for c in df.columns if c != value and c not in known]
+    rescued = F.when(F.col("__fields").isNull(), F.col(value)).when(F.size("__odd") > 0, kept)
+    record = F.struct(*[typed[n].alias(n) for n in known], rescued.alias(RESCUED))
+    # As a generated row, the record is computed once: later filters on its
+    # columns are not pushed below it, where they would parse the text again.
+    return (
+        df.filter(F.length(F.trim(value)) > 0)
+        .withColumn("__fields", F.from_json(value, "map<string,string>"))
+        .withColumn("__odd", odd)
+        .select(*others, F.inline(F.array(record)))
+        .select(*[f"`{n}`" for n in known], *others, RESCUED)
     )
 
 
