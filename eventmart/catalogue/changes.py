@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from eventmart.catalogue.marts import QUERIES as MART_QUERIES
 from eventmart.catalogue.tables import (
     EVENTS_SQL,
     USER_CHANGES_SQL,
+    ads,
     events,
     table,
     user_changes,
@@ -19,7 +21,7 @@ from eventmart.operators.incremental import incremental_slice, of_keys
 from eventmart.operators.merge import delete_where, erase_subjects, merge_upsert
 from eventmart.operators.ordering import rank_by_value, top_per_group
 from eventmart.plans import ads as ad_plans
-from eventmart.plans import hourly, runner, sessions
+from eventmart.plans import content, hourly, runner, sessions
 
 WATERMARK = dt.datetime(2024, 1, 20, 12, 0)
 WM = "timestamp '2024-01-20 12:00:00'"
@@ -72,21 +74,6 @@ EVENT_HISTORY_SQL = _scd2_sql(
 )
 EVENT_CHANGES_SQL = "\nchanges as (select user_id, ts, event_id, event_type from events)"
 
-SESSIONS_SQL = """
-, lengths as (
-  select user_id, session_id,
-    cast(floor(epoch(max("timestamp"))) - floor(epoch(min("timestamp"))) as bigint) as len
-  from ev group by 1, 2),
-per_user as (select user_id, cast(sum(len) as bigint) as s, count(session_id) as c from lengths group by 1),
-fav as (
-  select user_id, platform, row_number() over (partition by user_id order by count(session_id) desc, platform nulls last) as rn
-  from ev group by user_id, platform),
-seen as (select user_id, max("timestamp") as last_ts, count(session_id) as n from ev group by 1)
-select user_id, c as total_session_per_user,
-  cast(cast((200 * s + c) // (2 * c) as double) / 100 as decimal(11,2)) as avg_session_duration_in_seconds,
-  platform as most_used_platform, last_ts as last_seen_timestamp_in_IST, n as total_events_per_user
-from per_user join fav using (user_id) join seen using (user_id) where rn = 1"""
-
 HOURLY_SQL = """
 select strftime("timestamp", '%Y-%m-%d') as date, strftime("timestamp", '%H') as hour, platform, country,
   count(distinct user_id) as unique_users, count(event_id) as total_events,
@@ -94,6 +81,10 @@ select strftime("timestamp", '%Y-%m-%d') as date, strftime("timestamp", '%H') as
 from {source} group by 1, 2, 3, 4"""
 
 
+CONTENT_SQL = MART_QUERIES["content_engagement"][1]
+AD_SQL = MART_QUERIES["ad_performance"][1]
+
+
 def _spend_by_customer(orders, states):
     """Order totals per customer over the orders in the given states."""
     return (
@@ -178,12 +169,20 @@ from counts join current_ads using (ad_id)""",
     ),
     "affected_keys_recompute": (
         lambda spark, sf: _refreshed(runner.session_mart(), spark, sf, events(spark, sf)),
-        with_sql(EVENTS_SQL, query=SESSIONS_SQL),
+        MART_QUERIES["user_session_summary"][1],
     ),
     "hourly_refresh": (
         lambda spark, sf: _refreshed(runner.hourly_mart(), spark, sf, events(spark, sf)),
         with_sql(EVENTS_SQL, query=HOURLY_SQL.format(source="ev")),
     ),
+    "content_refresh": (
+        lambda spark, sf: content.rank_content(_refreshed(runner.content_mart(), spark, sf, events(spark, sf))),
+        CONTENT_SQL,
+    ),
+    "ad_refresh": (
+        lambda spark, sf: _refreshed(runner.ad_mart(), spark, sf, events(spark, sf), ads(spark, sf)),
+        AD_SQL,
+    ),
     "semi_join_active_users": (
         lambda spark, sf: of_keys(
             events(spark, sf), incremental_slice(events(spark, sf), WATERMARK).select("user_id").distinct(), ["user_id"]

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.operators.joins import null_safe_join
 from eventmart.operators.merge import delete_where, merge_upsert
 
 WATERMARK_SCHEMA = "entity_name string, watermark_value timestamp"
@@ -43,12 +44,12 @@ def affected_keys(slices: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame
 
 
 def of_keys(source: DataFrame, affected: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of ``source`` that belong to the affected keys.
+    """All rows of ``source`` that belong to the affected keys; null is a key too.
 
-    ``affected`` is an aggregate, so at run time Spark sees how large it is and
-    sends it to all tasks only if it is small; a hot key's rows are split.
+    Unless the caller has marked ``affected`` as small, both sides are shuffled
+    and AQE splits the rows of a hot key.
     """
-    return source.join(affected, list(keys), "left_semi")
+    return null_safe_join(source, affected, keys, "left_semi")
 
 
 def advance_watermark(watermarks: DataFrame, entity: str, value: dt.datetime) -> DataFrame:

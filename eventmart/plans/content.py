@@ -21,8 +21,11 @@ def content_counts(events: DataFrame) -> DataFrame:
         F.count_if(kind == "share").alias("shares_count"),
         F.count_if(kind == "comment").alias("comment_count"),
     )
-    reactions = F.col("comment_count") + F.col("shares_count") + F.col("likes_count")
-    ratio = F.coalesce(F.round(F.try_divide(reactions, "views_count"), 2), F.lit(0.0))
+    # The counts are named in the order they are aggregated. Ranking reads this
+    # plan twice; in equal order both readers share one aggregation of the events.
+    views = F.col("views_count")
+    reactions = F.col("likes_count") + F.col("shares_count") + F.col("comment_count")
+    ratio = F.when(views > 0, F.round(F.try_divide(reactions, views), 2)).otherwise(0.0)
     return counts.withColumn("engagement_score", F.least(ratio * 100, F.lit(100.0)))
 
 

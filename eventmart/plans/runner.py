@@ -16,7 +16,7 @@ from eventmart.operators.incremental import (
     watermark_value,
 )
 from eventmart.operators.joins import broadcast_if_small
-from eventmart.operators.merge import erase_subjects, merge_upsert, replace_keys
+from eventmart.operators.merge import erase_subjects, replace_keys
 from eventmart.plans import ads as ad_plans
 from eventmart.plans import anomalies, content, hourly, sessions
 from eventmart.session import ensure_checkpoint_dir
@@ -33,59 +33,60 @@ from eventmart.sources.catalog import (
 
 @dataclass(frozen=True)
 class Mart:
-    """How a mart is rebuilt: its function, the keys a slice touches, and its grain."""
+    """How a mart is built, and which of its rows a slice of the sources touches."""
 
     build: Callable[..., DataFrame]
+    # Columns of the (prepared) sources; their touched values are built again.
     slice_keys: Sequence[str]
-    grain: Sequence[str]
     # Adds the slice keys to a source when they are computed.
     prepare: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+    # Turns touched slice keys into key columns of the mart when these differ.
+    label: Callable[[DataFrame], DataFrame] = field(default=lambda touched: touched)
+    # Leaves out source rows older than all touched keys, so that files are skipped.
+    prune: Callable[[DataFrame, DataFrame], DataFrame] = field(default=lambda source, touched: source)
     # Runs over the whole merged mart.
     finish: Callable[[DataFrame], DataFrame] | None = None
-    # The slice keys replace all their rows, rather than only equal grain keys.
-    replaces: bool = False
-    null_safe: bool = False
 
 
 def _with_hour(events: DataFrame) -> DataFrame:
-    return events.withColumn("__hour", F.date_trunc("hour", "timestamp"))
+    return events.withColumns({"__day": F.to_date("timestamp"), "__hour": F.hour("timestamp")})
+
+
+def _hour_texts(touched: DataFrame) -> DataFrame:
+    return touched.select(
+        F.date_format("__day", "yyyy-MM-dd").alias("date"), F.lpad(F.col("__hour").cast("string"), 2, "0").alias("hour")
+    )
+
+
+def _since_oldest_day(events: DataFrame, touched: DataFrame) -> DataFrame:
+    oldest = touched.agg(F.min("__day")).take(1)[0][0]
+    if oldest is None:
+        return events
+    return events.filter((F.col("timestamp") >= F.lit(oldest)) | F.col("timestamp").isNull())
 
 
 def hourly_mart() -> Mart:
     return Mart(
-        lambda events: hourly.hourly_active_users(events),
-        ["__hour"],
-        hourly.KEYS,
-        prepare=_with_hour,
-        null_safe=True,
+        hourly.hourly_active_users, ["__day", "__hour"], prepare=_with_hour, label=_hour_texts, prune=_since_oldest_day
     )
 
 
 def session_mart() -> Mart:
-    return Mart(lambda events: sessions.user_session_summary(events), ["user_id"], ["user_id"])
+    return Mart(sessions.user_session_summary, ["user_id"])
 
 
 def content_mart() -> Mart:
-    return Mart(
-        lambda events: content.content_engagement(events),
-        content.KEYS,
-        content.KEYS,
-        finish=content.rank_content,
-        null_safe=True,
-    )
+    # Ranks of untouched content move too, so the whole mart is ranked again.
+    return Mart(content.content_engagement, content.KEYS, finish=content.rank_content)
 
 
 def ad_mart() -> Mart:
-    return Mart(lambda events, ads: ad_plans.ad_performance(events, ads), ["ad_id"], ["ad_id"])
+    return Mart(ad_plans.ad_performance, ["ad_id"])
 
 
 def anomaly_mart(**options) -> Mart:
-    return Mart(
-        lambda events: anomalies.anomaly_flags(events, **options),
-        ["user_id"],
-        ["user_id", "event_timestamp", "case_severity", "ip_address"],
-        replaces=True,
-    )
+    # Running addresses and changes of country depend on a user's whole history.
+    return Mart(lambda events: anomalies.anomaly_flags(events, **options), ["user_id"])
 
 
 def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str = LATE) -> DataFrame:
@@ -94,20 +95,15 @@ def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str
     return affected_keys(slices, mart.slice_keys)
 
 
-def refresh_rows(
-    mart: Mart, target: DataFrame, sources: Sequence[DataFrame], touched: DataFrame
-) -> DataFrame:
-    """The mart after the touched keys are computed again from their whole history.
+def refresh_rows(mart: Mart, target: DataFrame, sources: Sequence[DataFrame], touched: DataFrame) -> DataFrame:
+    """The mart with the rows of the touched keys built again from their whole history.
 
     Totals do not shrink to the slice, and a repeated run changes nothing.
+    ``mart.finish`` is still to be run.
     """
-    ready = [mart.prepare(s) for s in sources]
-    rows = mart.build(*[of_keys(s, touched, mart.slice_keys) for s in ready])
-    if mart.replaces:
-        merged = replace_keys(target, rows, touched, mart.slice_keys)
-    else:
-        merged = merge_upsert(target, rows, mart.grain, mart.null_safe, on_duplicate="keep")
-    return mart.finish(merged).select(*target.columns) if mart.finish else merged
+    history = [of_keys(mart.prepare(s), touched, mart.slice_keys) for s in sources]
+    labels = mart.label(touched)
+    return replace_keys(target, mart.build(*history), labels, labels.columns)
 
 
 def run_mart(
@@ -146,7 +142,10 @@ def run_mart(
         # Used several times; stored once, and sent to all tasks only if small.
         ensure_checkpoint_dir(spark)
         touched = broadcast_if_small(touched_keys(mart, sources, watermark, late).checkpoint())
-        rows = refresh_rows(mart, read_table(spark, target_table), sources, touched)
+        old = read_table(spark, target_table)
+        rows = refresh_rows(mart, old, [mart.prune(s, touched) for s in sources], touched)
+        if mart.finish:
+            rows = mart.finish(rows.checkpoint()).select(*old.columns)
     replace_table(rows, target_table)
     if reached is not None:
         row = spark.createDataFrame([(name, reached)], "entity_name string, watermark_value timestamp")
