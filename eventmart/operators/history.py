@@ -107,5 +107,9 @@ def scd2_apply(
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
-    """Adds the hash bucket of the key, the partition column of staged changes and histories."""
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    """Adds the hash bucket of the key, the partition column of stored histories and marts.
+
+    The key's text is hashed: the same number as int and as bigint must meet.
+    """
+    texts = [F.col(k).cast("string") for k in keys]
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*texts), F.lit(buckets)).cast("int"))

@@ -25,6 +25,7 @@ PROGRESS_TYPE = (
     "array<struct<name:string,dataset:string,passed_records:string,failed_records:string>>>>"
 )
 BILLED_PRODUCT = "DLT"
+LOG_PREFIX = "event_log_"
 
 
 def _named(pipelines: DataFrame, names: DataFrame | Sequence[str] | None) -> DataFrame:
@@ -75,6 +76,30 @@ def run_health(
     )
 
 
+def event_log_tables(
+    pipelines: DataFrame, tables: DataFrame, names: DataFrame | Sequence[str] | None = None
+) -> DataFrame:
+    """The catalog tables that hold the event logs of the named pipelines.
+
+    ``tables``: table_schema, table_name, as :func:`table_names` lists them.
+    """
+    logs = _named(pipelines, names).withColumn("table_name", F.concat(F.lit(LOG_PREFIX), "pipeline_id"))
+    return tables.join(logs, "table_name").select(
+        "pipeline_id",
+        "pipeline_name",
+        F.concat("table_schema", F.lit(".`"), "table_name", F.lit("`")).alias("full_name"),
+    )
+
+
+def read_event_logs(spark: SparkSession, found: DataFrame) -> DataFrame | None:
+    """All listed event logs as one; None if there is none. The list is as short as the pipelines."""
+    logs = [
+        spark.table(r.full_name).select("event_type", "origin", "details")
+        for r in found.select("full_name").distinct().collect()
+    ]
+    return reduce(DataFrame.unionByName, logs) if logs else None
+
+
 def _with_details(event_log: DataFrame, details_type: str) -> DataFrame:
     """Run, pipeline and the wanted parts of the JSON details, parsed once."""
     return event_log.select(

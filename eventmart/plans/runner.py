@@ -8,14 +8,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.operators.history import BUCKET, BUCKETS, with_bucket
 from eventmart.operators.incremental import (
     LATE,
+    WATERMARK_SCHEMA,
     affected_keys,
     incremental_slice,
     of_keys,
     watermark_value,
 )
-from eventmart.operators.joins import broadcast_if_small
+from eventmart.operators.joins import broadcast_if_small, null_safe_join
 from eventmart.operators.merge import erase_subjects, replace_keys
 from eventmart.plans import ads as ad_plans
 from eventmart.plans import anomalies, content, hourly, sessions
@@ -26,6 +28,7 @@ from eventmart.sources.catalog import (
     finish_swap,
     read_table,
     replace_table,
+    rewrite_partitions,
     table_exists,
     upsert_table,
 )
@@ -44,7 +47,9 @@ class Mart:
     label: Callable[[DataFrame], DataFrame] = field(default=lambda touched: touched)
     # Leaves out source rows older than all touched keys, so that files are skipped.
     prune: Callable[[DataFrame, DataFrame], DataFrame] = field(default=lambda source, touched: source)
-    # Runs over the whole merged mart.
+    # Partition column of the stored mart; by default a hash bucket of the slice keys.
+    partition: str = BUCKET
+    # Runs over the whole merged mart, which is then stored unpartitioned.
     finish: Callable[[DataFrame], DataFrame] | None = None
 
 
@@ -67,7 +72,12 @@ def _since_oldest_day(events: DataFrame, touched: DataFrame) -> DataFrame:
 
 def hourly_mart() -> Mart:
     return Mart(
-        hourly.hourly_active_users, ["__day", "__hour"], prepare=_with_hour, label=_hour_texts, prune=_since_oldest_day
+        hourly.hourly_active_users,
+        ["__day", "__hour"],
+        prepare=_with_hour,
+        label=_hour_texts,
+        prune=_since_oldest_day,
+        partition="date",
     )
 
 
@@ -106,6 +116,41 @@ def refresh_rows(mart: Mart, target: DataFrame, sources: Sequence[DataFrame], to
     return replace_keys(target, mart.build(*history), labels, labels.columns)
 
 
+def _placed(df: DataFrame, mart: Mart, buckets: int) -> DataFrame:
+    """Adds the bucket column if the mart is stored by bucket."""
+    return with_bucket(df, mart.slice_keys, buckets) if mart.partition == BUCKET else df
+
+
+def read_mart(spark: SparkSession, table: str) -> DataFrame:
+    """A stored mart without its bucket column."""
+    return read_table(spark, table).drop(BUCKET)
+
+
+def _first_build(mart: Mart, sources: Sequence[DataFrame], table: str, buckets: int) -> None:
+    rows = mart.build(*[mart.prepare(s) for s in sources])
+    if mart.finish:
+        replace_table(rows, table)
+    else:
+        placed = _placed(rows, mart, buckets)
+        # Rows of a partition meet in a few tasks, so that it is a few files.
+        replace_table(placed.repartition(mart.partition, F.pmod(F.xxhash64(*rows.columns), F.lit(4))), table, [mart.partition])
+
+
+def _refresh(mart: Mart, sources: Sequence[DataFrame], table: str, touched: DataFrame, buckets: int) -> None:
+    spark = touched.sparkSession
+    history = [mart.prune(s, touched) for s in sources]
+    if mart.finish:
+        old = read_table(spark, table)
+        merged = refresh_rows(mart, old, history, touched).checkpoint()
+        replace_table(mart.finish(merged).select(*old.columns), table)
+        return
+    # At most one row per bucket or day: small, and Spark prunes the stored mart by it.
+    used = _placed(mart.label(touched), mart, buckets).select(mart.partition).distinct()
+    old = null_safe_join(read_table(spark, table), F.broadcast(used), [mart.partition], "left_semi")
+    merged = refresh_rows(mart, old.drop(BUCKET), history, touched)
+    rewrite_partitions(_placed(merged, mart, buckets), table, used)
+
+
 def run_mart(
     spark: SparkSession,
     name: str,
@@ -115,12 +160,14 @@ def run_mart(
     watermark_table: str,
     refresh: str = "incremental",
     late: str = LATE,
+    buckets: int = BUCKETS,
 ) -> None:
     """Brings a mart table up to date and moves its watermark.
 
-    ``refresh="full"`` drops the mart and its watermark first. The new watermark
-    is the greatest ``updated_at`` of the sources, read before the rows are, so
-    later arrivals fall into the next slice.
+    Only partitions with a touched key are read and rewritten. ``refresh="full"``
+    drops the mart and its watermark first. The new watermark is the greatest
+    ``updated_at`` of the sources, read before the rows are, so later arrivals
+    fall into the next slice. ``buckets`` must stay the same for a stored mart.
     """
     if refresh not in ("incremental", "full"):
         raise ValueError("refresh is 'incremental' or 'full'")
@@ -137,21 +184,35 @@ def run_mart(
     reached = max((t for t in newest if t is not None), default=None)
 
     if watermark is None or not table_exists(spark, target_table):
-        rows = mart.build(*[mart.prepare(s) for s in sources])
+        _first_build(mart, sources, target_table, buckets)
     else:
         # Used several times; stored once, and sent to all tasks only if small.
         ensure_checkpoint_dir(spark)
         touched = broadcast_if_small(touched_keys(mart, sources, watermark, late).checkpoint())
-        old = read_table(spark, target_table)
-        rows = refresh_rows(mart, old, [mart.prune(s, touched) for s in sources], touched)
-        if mart.finish:
-            rows = mart.finish(rows.checkpoint()).select(*old.columns)
-    replace_table(rows, target_table)
+        _refresh(mart, sources, target_table, touched, buckets)
     if reached is not None:
-        row = spark.createDataFrame([(name, reached)], "entity_name string, watermark_value timestamp")
+        row = spark.createDataFrame([(name, reached)], WATERMARK_SCHEMA)
         upsert_table(row, watermark_table, ["entity_name"])
 
 
+# Grain of the stored monitors.
+MONITOR_KEYS = {
+    "run_health": ["pipeline_id", "update_id"],
+    "rule_outcomes": ["pipeline_id", "update_id", "flow_name", "expectations_name"],
+    "run_cost": [
+        "update_id", "sku_name", "usage_start_time", "usage_end_time", "dbu_consumed", "estimated_cost_usd", "workspace_id",
+    ],
+    "table_growth": ["table_catalog", "table_schema", "table_name", "snapshot_date"],
+}
+
+
+def store_monitor(rows: DataFrame, monitor: str, table: str, refresh: str = "incremental") -> None:
+    """Merges a monitor's rows into its table; ``refresh="full"`` starts the table anew."""
+    if refresh == "full":
+        drop_table(rows.sparkSession, table)
+    upsert_table(rows, table, MONITOR_KEYS[monitor], null_safe=True)
+
+
 def erase_from_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], subjects: DataFrame, key: str) -> None:
     """Rewrites each (table, subject column) without the subjects, in the order given."""
     ensure_checkpoint_dir(spark)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators.joins import all_of, broadcast_if_small
@@ -49,13 +49,25 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"drop table if exists {table}")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrites a table with rows that may be computed from it.
+    """Overwrites a table with rows that may be computed from it, or creates it.
 
-    The rows are written beside it, then the names are swapped.
+    An unpartitioned table is written beside the old one and the names are
+    swapped. Of a partitioned one all partitions are rewritten.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(f"{table}{NEXT}")
+    if not table_exists(spark, table):
+        df.write.partitionBy(*partition_by).saveAsTable(table)
+        return
+    parts = partition_columns(spark, table)
+    if parts:
+        rewrite_partitions(df, table, read_table(spark, table).select(*parts).distinct())
+        return
+    df.write.mode("overwrite").saveAsTable(f"{table}{NEXT}")
     drop_table(spark, table)
     finish_swap(spark, table)
 
@@ -142,6 +154,30 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         spark.conf.set(setting, before)
 
 
+def _partition_spec(values: Row) -> str:
+    def literal(value) -> str:
+        if value is None or isinstance(value, (int, float)):
+            return "null" if value is None else str(value)
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return ", ".join(f"`{name}` = {literal(value)}" for name, value in values.asDict().items())
+
+
+def rewrite_partitions(df: DataFrame, table: str, touched: DataFrame) -> None:
+    """Replaces the touched partitions of a table by ``df``, which may leave some of them empty.
+
+    ``touched`` holds their distinct partition values, one row each. The write
+    does not overwrite a partition that came out empty, so that one is dropped.
+    """
+    spark = df.sparkSession
+    wanted = set(touched.collect())
+    written = Observation()
+    found = F.collect_set(F.struct(*touched.columns)).alias("found")
+    overwrite_partitions(df.observe(written, found), table)
+    for values in wanted - {Row(**r.asDict()) for r in written.get["found"]}:
+        spark.sql(f"alter table {table} drop if exists partition ({_partition_spec(values)})")
+
+
 def delete_rows(spark: SparkSession, table: str, condition: Column) -> None:
     """Deletes the rows for which the condition is true."""
     replace_table(delete_where(read_table(spark, table), condition), table)

@@ -93,6 +93,16 @@ def test_partition_columns_must_be_keys(spark, name):
         catalog.upsert_table(make(spark), name, ["k"], partition_by=["v"])
 
 
+def test_delete_from_partitions(spark, name):
+    schema = "day string, n int, v int"
+    data = spark.createDataFrame([("d1", 1, 1), ("d1", 2, 2), ("d'2", 3, 3), (None, 4, 4)], schema)
+    catalog.replace_table(data, name, ["day", "n"])
+    catalog.delete_rows(spark, name, F.col("v") > 1)
+    assert rows(catalog.read_table(spark, name).select("day", "n", "v")) == [("d1", 1, 1)]
+    catalog.replace_table(data, name)
+    assert rows(catalog.read_table(spark, name).select("day", "n", "v")) == rows(data)
+
+
 def test_append_delete_and_interrupted_swap(spark, name):
     catalog.append_table(make(spark, ("a", 1)), name)
     catalog.append_table(make(spark, ("b", 2)).select("v", "k"), name)

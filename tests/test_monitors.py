@@ -7,14 +7,17 @@ from decimal import Decimal
 import pytest
 
 from eventmart.plans.monitors import (
+    event_log_tables,
     folder_growth,
     previous_days,
+    read_event_logs,
     rule_outcomes,
     run_cost,
     run_health,
     table_growth,
 )
-from eventmart.sources.catalog import upsert_table
+from eventmart.plans.runner import MONITOR_KEYS, store_monitor
+from eventmart.sources.catalog import read_table, table_names
 from tests.conftest import SMALL, rows
 
 
@@ -120,6 +123,27 @@ def test_cost(spark, pipelines, runs):
     )
 
 
+def test_event_logs_are_found_by_name(spark, pipelines):
+    log = spark.createDataFrame(
+        [("flow_definition", ("u1", "batch"), DEFINITION)],
+        "event_type string, origin struct<request_id:string,pipeline_name:string>, details string",
+    )
+    assert read_event_logs(spark, event_log_tables(pipelines, table_names(spark), ["batch"])) is None
+    log.write.mode("overwrite").saveAsTable("event_log_p1")
+    found = event_log_tables(pipelines, table_names(spark, prefix="event_log_"), None)
+    assert rows(found) == [("p1", "batch", "default.`event_log_p1`")]
+    assert read_event_logs(spark, found).count() == 1
+    spark.sql("drop table event_log_p1")
+
+
+def test_stored_health_is_unchanged_by_a_rerun(spark, pipelines, runs):
+    target = f"health_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        store_monitor(run_health(pipelines, runs, None, START, END), "run_health", target)
+    assert read_table(spark, target).count() == 2
+    assert set(MONITOR_KEYS) == {"run_health", "rule_outcomes", "run_cost", "table_growth"}
+
+
 def test_growth_of_tables(spark):
     name = f"growth_{uuid.uuid4().hex[:8]}"
     spark.range(100).repartition(3).write.saveAsTable(name)
@@ -134,9 +158,9 @@ def test_growth_of_tables(spark):
     spark.sql(f"analyze table {name} compute statistics")
     assert one().num_rows == 100
     target = f"{name}_log"
-    for _ in range(2):
-        upsert_table(table_growth(spark, [name], snapshot), target, ["table_name", "snapshot_date"])
-    assert spark.table(target).count() == 1
+    for mode in ("incremental", "incremental", "full"):
+        store_monitor(table_growth(spark, [name], snapshot), "table_growth", target, mode)
+        assert read_table(spark, target).count() == 1
 
 
 def test_growth_of_folders(spark):
