@@ -90,7 +90,7 @@ flows as (select distinct update_id, dataset as flow_name from log_lines)"""
 OUTCOMES_SQL = f"""
 select pipeline_name, pipeline_id, flow_name, name as expectations_name, cast(passed as varchar) as passed_records,
   cast(failed as varchar) as failed_records, cast(total as varchar) as total_rows,
-  cast((200 * passed + total) // (2 * total) as decimal(18,2)) as pass_percentage,
+  cast((200 * passed + total) // (2 * total) as decimal(19,2)) as pass_percentage,
   start_time as run_start_time, end_time as run_end_time, update_id
 from reports join flows using (update_id) join runs using (update_id) join named using (pipeline_id)
 where rn = 1 and start_time >= timestamp '{START}' and end_time <= timestamp '{END}'"""
@@ -169,7 +169,7 @@ usage as (
     cast(l_quantity as decimal(10,2)) as dbu_consumed, l_suppkey as workspace_id
   from lineitem join orders on l_orderkey = o_orderkey where l_returnflag <> 'R')
 select distinct pipeline_id, pipeline_name, update_id, sku_name, usage_date, usage_start_time, usage_end_time,
-  dbu_consumed, round(dbu_consumed * cast(p_retailprice as decimal(12,3)), 2) as estimated_cost_usd, workspace_id
+  dbu_consumed, cast(round(dbu_consumed * cast(p_retailprice as decimal(12,3)), 2) as decimal(21,2)) as estimated_cost_usd, workspace_id
 from usage join named using (pipeline_id) join part on p_partkey = sku_name join runs using (pipeline_id)
 where usage_start_time >= timestamp '{START}' and usage_end_time < timestamp '{END}'
   and usage_start_time < end_time and start_time < usage_end_time""",

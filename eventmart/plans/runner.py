@@ -166,7 +166,7 @@ def run_mart(
 
     Only partitions with a touched key are read and rewritten. ``refresh="full"``
     drops the mart and its watermark first. The new watermark is the greatest
-    ``updated_at`` of the sources, read before the rows are, so later arrivals
+    ``updated_at`` of the slice, read before the rows are, so later arrivals
     fall into the next slice. ``buckets`` must stay the same for a stored mart.
     """
     if refresh not in ("incremental", "full"):
@@ -180,17 +180,19 @@ def run_mart(
     known = table_exists(spark, watermark_table)
     watermark = watermark_value(read_table(spark, watermark_table), name) if known else None
     sources = [read_table(spark, t) for t in source_tables]
-    newest = [s.agg(F.max("updated_at")).take(1)[0][0] for s in sources]
-    reached = max((t for t in newest if t is not None), default=None)
+    # Within the slice, so that files without new rows are skipped.
+    newest = [incremental_slice(s, watermark, late=late).agg(F.max("updated_at")).take(1)[0][0] for s in sources]
+    reached = max((t for t in (*newest, watermark) if t is not None), default=None)
 
     if watermark is None or not table_exists(spark, target_table):
         _first_build(mart, sources, target_table, buckets)
     else:
         # Used several times; stored once, and sent to all tasks only if small.
         ensure_checkpoint_dir(spark)
-        touched = broadcast_if_small(touched_keys(mart, sources, watermark, late).checkpoint())
-        _refresh(mart, sources, target_table, touched, buckets)
-    if reached is not None:
+        touched = touched_keys(mart, sources, watermark, late).checkpoint()
+        if touched.take(1):
+            _refresh(mart, sources, target_table, broadcast_if_small(touched), buckets)
+    if reached != watermark:
         row = spark.createDataFrame([(name, reached)], WATERMARK_SCHEMA)
         upsert_table(row, watermark_table, ["entity_name"])
 

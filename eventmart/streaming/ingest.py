@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -62,15 +63,22 @@ def clean_folder(
     observation_name: str | None = None,
     continuous: str | None = None,
     bucket_keys: Sequence[str] = (),
+    date_of: str | None = None,
 ) -> StreamingQuery:
     """Bronze folder to silver folder with the same rules as the batch path.
 
     Warn counters reach listeners as an observed metric of each progress event.
     With ``bucket_keys`` the silver folder is partitioned by their hash bucket,
-    as staged changes for a history should be.
+    as staged changes for a history should be; with ``date_of`` by the local
+    date of that column (``event_date``), as events should be.
     """
     stream = spark.readStream.schema(bronze_schema).parquet(bronze)
     cleaned = clean(stream, silver_schema, rules, observation_name)
+    parts = []
     if bucket_keys:
         cleaned = with_bucket(cleaned, bucket_keys)
-    return run_ingest(cleaned, silver, checkpoint, continuous, [BUCKET] if bucket_keys else ())
+        parts.append(BUCKET)
+    if date_of:
+        cleaned = cleaned.withColumn("event_date", F.to_date(date_of))
+        parts.append("event_date")
+    return run_ingest(cleaned, silver, checkpoint, continuous, parts)

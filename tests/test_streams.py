@@ -75,7 +75,8 @@ def test_bronze_and_silver_streams(spark, root):
     def run():
         ingest_landing(spark, land, "json", source_schema("events"), bronze, f"{root}/c1").awaitTermination()
         query = clean_folder(
-            spark, bronze, bronze_schema("events"), silver, silver_schema("events"), rules, f"{root}/c2", "warnings"
+            spark, bronze, bronze_schema("events"), silver, silver_schema("events"), rules, f"{root}/c2", "warnings",
+            date_of="timestamp",
         )
         query.awaitTermination()
         return [p["observedMetrics"] for p in map(dict, query.recentProgress) if p.get("observedMetrics")]
@@ -95,6 +96,7 @@ def test_bronze_and_silver_streams(spark, root):
     columns = silver_schema("events").fieldNames()[:18]
     assert rows(spark.read.parquet(silver).select(*columns)) == rows(batch.select(*columns))
     assert spark.read.parquet(bronze).count() == 6
+    assert sorted(d for d in os.listdir(silver) if "=" in d) == ["event_date=2024-01-01"]
 
 
 def test_history_stream_equals_batch(spark, root):
