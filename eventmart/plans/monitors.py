@@ -236,17 +236,26 @@ def run_cost(
         .join(_named(pipelines, names), "pipeline_id")
         .join(prices.select("sku_name", F.col("pricing.default").alias("price")).distinct(), "sku_name")
     )
-    spans = runs.select("pipeline_id", "update_id", "period_start_time", "period_end_time").distinct()
     if by_time:
+        # A run without an end is still going. Runs are cut to the window, so a
+        # long one is laid out over the window's days only.
+        first, last = _at(start).cast("timestamp"), _at(end).cast("timestamp")
+        until = F.coalesce("period_end_time", last)
+        spans = (
+            runs.filter((F.col("period_start_time") < last) & (until >= first))
+            .select(
+                "pipeline_id",
+                "update_id",
+                F.greatest("period_start_time", first).alias("run_from"),
+                F.least(until, last).alias("run_to"),
+            )
+            .distinct()
+        )
         matched = interval_overlap_join(
-            billed,
-            spans,
-            ["pipeline_id"],
-            ("usage_start_time", "usage_end_time"),
-            ("period_start_time", "period_end_time"),
+            billed, spans, ["pipeline_id"], ("usage_start_time", "usage_end_time"), ("run_from", "run_to")
         )
     else:
-        matched = billed.join(spans.select("pipeline_id", "update_id").distinct(), "pipeline_id")
+        matched = billed.join(runs.select("pipeline_id", "update_id").distinct(), "pipeline_id")
     return matched.select(
         "pipeline_id",
         "pipeline_name",

@@ -117,6 +117,12 @@ def test_cost(spark, pipelines, runs):
     assert [(r.update_id, r.dbu_consumed, r.estimated_cost_usd) for r in got.collect()] == [
         ("u1", Decimal("1.500"), Decimal("0.50"))
     ]
+    # A run that has not ended takes all usage since its start.
+    open_run = runs.unionByName(
+        spark.createDataFrame([("p1", "u9", None, "JOB", dt.datetime(2024, 4, 1), None)], runs.schema)
+    )
+    going = run_cost(usage, pipelines, prices, open_run, ["batch"], START, END).filter("update_id = 'u9'")
+    assert sorted(str(r.dbu_consumed) for r in going.collect()) == ["1.500", "9.000"]
     every = run_cost(usage, pipelines, prices, runs, ["batch"], START, END, by_time=False)
     assert sorted((r.update_id, str(r.dbu_consumed)) for r in every.collect()) == sorted(
         (u, q) for u in ("u0", "u1", "u2") for q in ("1.500", "9.000")
