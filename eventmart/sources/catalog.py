@@ -119,14 +119,11 @@ def upsert_table(
         assert_unique(source, keys, null_safe).write.partitionBy(*partition_by).saveAsTable(table)
         return
     if _row_level(spark, table):
-        match = [
-            F.col(f"target.{k}").eqNullSafe(F.col(f"source.{k}"))
-            if null_safe
-            else F.col(f"target.{k}") == F.col(f"source.{k}")
-            for k in keys
-        ]
-        aliased = assert_unique(source, keys, null_safe).alias("source")
-        aliased.mergeInto(f"{table} as target", all_of(match)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        name = table.split(".")[-1]
+        pairs = [(F.col(f"{name}.{k}"), F.col(f"source.{k}")) for k in keys]
+        match = all_of([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+        rows = assert_unique(source, keys, null_safe).alias("source")
+        rows.mergeInto(table, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
 
     # The merge reads the source twice; a checkpoint keeps its plan from running twice.

@@ -113,3 +113,13 @@ def test_append_delete_and_interrupted_swap(spark, name):
     catalog.finish_swap(spark, name)
     assert rows(spark.table(name)) == [("z", 9)]
     assert name in [r.table_name for r in catalog.table_names(spark, prefix=name).collect()]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_row_level_merge_resolves_its_columns(spark, name, monkeypatch, null_safe):
+    """No format with row-level changes is installed: Spark must refuse the table, not the condition."""
+    make(spark, ("a", 1)).write.saveAsTable(name)
+    monkeypatch.setattr(catalog, "_row_level", lambda *_: True)
+    for table in (name, f"default.{name}"):
+        with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+            catalog.upsert_table(make(spark, ("a", 2)), table, ["k"], null_safe=null_safe)
