@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import mixing
+from eventmart.llm import mixing, shards
+from eventmart.llm.ship import ship
+from eventmart.session import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,4 +47,17 @@ select doc_id, size, source_size, target,
 from ranked
 """
 
-QUERIES = {"op2_mixing": (op2_mixing, OP2_SQL)}
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-shards")
+    shards.write_shards(_table(spark, sf_dir, "documents"), path, word_tokenizer(), end_id=1)
+    return shards.read_digests(spark, path)
+
+
+QUERIES = {"op2_mixing": (op2_mixing, OP2_SQL), "op10_token_shards": (op10_token_shards, None)}
