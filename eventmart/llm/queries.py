@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.llm import mixing, shards
+from eventmart.llm import htmltext, mixing, shards
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -60,4 +60,12 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.read_digests(spark, path)
 
 
-QUERIES = {"op2_mixing": (op2_mixing, OP2_SQL), "op10_token_shards": (op10_token_shards, None)}
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    "op2_mixing": (op2_mixing, OP2_SQL),
+    "op5_html_text": (op5_html_text, None),
+    "op10_token_shards": (op10_token_shards, None),
+}
