@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.llm import htmltext, mixing, shards
+from eventmart.llm import htmltext, mixing, shards, topk
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -60,12 +61,30 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.read_digests(spark, path)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP3_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from scored)
+select * from ranked where rank <= 10
+"""
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
     "op2_mixing": (op2_mixing, OP2_SQL),
+    "op3_top_k": (op3_top_k, OP3_SQL),
     "op5_html_text": (op5_html_text, None),
     "op10_token_shards": (op10_token_shards, None),
 }
