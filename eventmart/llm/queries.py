@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import htmltext, mixing, shards, topk
+from eventmart.llm import htmltext, langid, mixing, shards, topk
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -78,6 +78,10 @@ select * from ranked where rank <= 10
 """
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
@@ -85,6 +89,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": (op2_mixing, OP2_SQL),
     "op3_top_k": (op3_top_k, OP3_SQL),
+    "op4_language": (op4_language, None),
     "op5_html_text": (op5_html_text, None),
     "op10_token_shards": (op10_token_shards, None),
 }
