@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import htmltext, langid, mixing, shards, topk
+from eventmart.llm import htmltext, langid, mixing, shards, topk, toxicity
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -49,6 +49,10 @@ from ranked
 """
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -91,5 +95,6 @@ QUERIES = {
     "op3_top_k": (op3_top_k, OP3_SQL),
     "op4_language": (op4_language, None),
     "op5_html_text": (op5_html_text, None),
+    "op6_toxicity": (op6_toxicity, None),
     "op10_token_shards": (op10_token_shards, None),
 }
