@@ -1,17 +1,17 @@
 """Exact top-k by integer inner product, with a uniform threshold in three phases.
 
 Vectors are cut into ``lists`` slices of dimensions; a slice's inner product is
-a list of partial scores, and a score is the sum of its partial scores. Shifted
-by the least partial score of their list, all partial scores are at least 0.
-
-1. Every task gathers, per query and list, its k highest partial scores and
-   the least one. The sums of what is known bound scores from below; the k-th
-   of those bounds is the cutoff.
-2. The cutoff goes back to the tasks. A row whose score reaches it has a
-   shifted partial score of cutoff / lists or more in some list: all such
-   entries are collected. They give a better bound from below, and a bound
-   from above for each row.
-3. Rows whose upper bound reaches the k-th lower bound are scored exactly.
+a list of partial scores, and a score is the sum of its partial scores.
+
+1. Every task gathers, per query and list, the rows of the k highest partial
+   scores, and sends the k best whole scores among them. The k-th best score
+   that any task sent is a safe cutoff: k rows reach it.
+2. The cutoff goes back to the tasks. A row that reaches it has a partial score
+   of cutoff / lists or more in some list; such entries suffice, and all others
+   are left alone.
+3. The remaining partial scores of those rows are resolved, exactly. A row's
+   slices lie in one task, so this needs no join; each task sends its k best
+   rows that reach the cutoff, by score and then by vec_id.
 
 Queries are taken in blocks, so what is sent to tasks is bounded by the block,
 not by the table.
@@ -76,13 +76,25 @@ def _parts(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, step)
 
 
-def _rows(kinds: list[pa.DataType], names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+_LONG = pa.int64()
+_SCORED = "query_id long, vec_id long, score long"
 
 
-_LONG = pa.int64()
-_ENTRY = ["query_id", "list", "vec_id", "partial"]
-_ENTRY_SQL = "query_id long, list long, vec_id long, partial long"
+def _scored(query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, _LONG) for c in (query, vec, score)], ["query_id", "vec_id", "score"])
+
+
+def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Indexes of the k best rows of each query, by score and then by smaller vec_id; of one vec_id the best row counts."""
+    order = np.lexsort((-score, vec, query))
+    again = np.zeros(len(order), bool)
+    again[1:] = (query[order][1:] == query[order][:-1]) & (vec[order][1:] == vec[order][:-1])
+    order = order[~again]
+    order = order[np.lexsort((vec[order], -score[order], query[order]))]
+    query = query[order]
+    first = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))) if len(query) else np.zeros(0, int)
+    place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
+    return order[place < k]
 
 
 def _block_top_k(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, lists: int) -> DataFrame:
@@ -90,89 +102,47 @@ def _block_top_k(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k: in
     cuts = _slices(width, lists)
     step = max(1, CELLS // len(ids))
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = np.full((lists, len(ids)), np.iinfo(np.int64).max)
-        score = np.full((lists, len(ids), 0), 0, np.int64)
-        owner = score.copy()
-        for batch in _parts(batches, step):
-            vec, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), width)
-            own = ids[:, None] == vec[None, :]
-            tops, owners = [], []
-            for j, cut in enumerate(cuts):
-                partial = _products(queries[:, cut], rows[:, cut])
-                least[j] = np.minimum(least[j], partial.min(axis=1))
-                partial = np.where(own, np.iinfo(np.int64).min, partial)
-                both = np.concatenate([score[j], partial], axis=1)
-                names = np.concatenate([owner[j], np.broadcast_to(vec, partial.shape)], axis=1)
-                if both.shape[1] > k:
-                    at = np.argpartition(both, both.shape[1] - k, axis=1)[:, -k:]
-                    both, names = np.take_along_axis(both, at, 1), np.take_along_axis(names, at, 1)
-                tops.append(both)
-                owners.append(names)
-            score, owner = np.stack(tops), np.stack(owners)
-        if score.shape[2]:
-            j, q, i = np.nonzero(score > np.iinfo(np.int64).min)
-            yield _rows([_LONG] * 4, _ENTRY, ids[q], j, owner[j, q, i], score[j, q, i])
-            # the least partial score of each list, under a vec_id of null
-            j, q = np.indices(least.shape).reshape(2, -1)
-            yield _rows([_LONG] * 4, _ENTRY, ids[q], j, np.ma.masked_all(len(q), np.int64), least[j, q])
-
-    local = materialize(vectors.mapInArrow(gather, _ENTRY_SQL), "topk-lists")
-    bottom = {(r[0], r[1]): r[2] for r in local.where("vec_id is null").groupBy("query_id", "list").agg(F.min("partial")).collect()}
-    floor = np.array([[bottom.get((int(q), j), 0) for q in ids] for j in range(lists)], np.int64)
-
-    least = vectors.sparkSession.createDataFrame(
-        [(int(q), j, int(floor[j, i])) for i, q in enumerate(ids) for j in range(lists)], "query_id long, list long, least long"
-    )
-
-    def kth(entries: DataFrame, of: str) -> DataFrame:
-        """Per query the k-th highest value of ``of``, 0 if there are fewer rows."""
-        best = entries.withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(of)))).where(F.col("_n") <= k)
-        return best.groupBy("query_id").agg(F.when(F.count("*") == k, F.min(of)).otherwise(0).alias("cutoff"))
-
-    def bounded(entries: DataFrame) -> DataFrame:
-        """Shifted score known of each row, and of how many lists."""
-        one = entries.groupBy("query_id", "list", "vec_id").agg(F.max("partial").alias("partial"))
-        return (
-            one.join(F.broadcast(least), ["query_id", "list"])
-            .groupBy("query_id", "vec_id")
-            .agg(F.sum(F.col("partial") - F.col("least")).alias("known"), F.count("*").alias("lists"))
-        )
+    def partials(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        vec, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), width)
+        return vec, [_products(queries[:, cut], rows[:, cut]) for cut in cuts], ids[:, None] == vec[None, :]
 
-    first = {r[0]: r[1] for r in kth(bounded(local.where("vec_id is not null")), "known").collect()}
-    cutoff = np.array([first.get(int(q), 0) for q in ids], np.int64)
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64),) * 3
         for batch in _parts(batches, step):
-            vec, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), width)
-            own = ids[:, None] == vec[None, :]
-            for j, cut in enumerate(cuts):
-                partial = _products(queries[:, cut], rows[:, cut])
-                q, i = np.nonzero(((partial - floor[j][:, None]) * lists >= cutoff[:, None]) & ~own)
-                yield _rows([_LONG] * 4, _ENTRY, ids[q], np.full(len(q), j), vec[i], partial[q, i])
-
-    entries = materialize(bounded(vectors.mapInArrow(collect, _ENTRY_SQL)), "topk-entries")
-    better = kth(entries, "known").withColumnRenamed("cutoff", "better")
-    sent = vectors.sparkSession.createDataFrame(list(zip(ids.tolist(), cutoff.tolist())), "query_id long, cutoff long")
-    able = (
-        entries.join(F.broadcast(better), "query_id")
-        .join(F.broadcast(sent), "query_id")
-        .where((F.col("known") + F.ceil((lists - F.col("lists")) * F.col("cutoff") / lists)) >= F.col("better"))
-        .select("query_id", "vec_id")
-    )
-
-    order = np.argsort(ids)
-    sorted_ids, sorted_queries = ids[order], queries[order]
+            vec, parts, own = partials(batch)
+            whole = sum(parts)
+            near = np.zeros(own.shape, bool)
+            for p in parts:
+                high = np.argpartition(p, -k - 1, axis=1)[:, -k - 1 :] if p.shape[1] > k + 1 else np.broadcast_to(np.arange(p.shape[1]), p.shape)
+                np.put_along_axis(near, high, True, axis=1)
+            q, i = np.nonzero(near & ~own)
+            held = tuple(np.concatenate(x) for x in zip(held, (q, vec[i], whole[q, i])))
+            keep = _best(*held, k)
+            held = tuple(x[keep] for x in held)
+        yield _scored(ids[held[0]], held[1], held[2])
+
+    local = vectors.mapInArrow(gather, _SCORED).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    # one vec_id counts once, or equal rows would raise the cutoff
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+    kth = local.withColumn("_n", place).where(F.col("_n") <= k).groupBy("query_id").agg(F.count("*"), F.min("score"))
+    known = {r[0]: r[2] for r in kth.collect() if r[1] == k}
+    lowest = np.iinfo(np.int64).min // (4 * lists)
+    cutoff = np.array([known.get(int(q), lowest) for q in ids], np.int64)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches, 20_000):
-            rows = _matrix(batch.column("v"), width)
-            mine = sorted_queries[np.searchsorted(sorted_ids, batch.column("query_id").to_numpy())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query_id"), batch.column("vec_id"), pa.array((mine * rows).sum(axis=1), _LONG)], ["query_id", "vec_id", "score"]
-            )
-
-    return able.join(vectors, "vec_id").select("query_id", "vec_id", "v").mapInArrow(resolve, "query_id long, vec_id long, score long")
+        for batch in _parts(batches, step):
+            vec, parts, own = partials(batch)
+            enough = np.zeros(own.shape, bool)
+            for p in parts:
+                enough |= p * lists >= cutoff[:, None]
+            q, i = np.nonzero(enough & ~own)
+            score = sum(p[q, i] for p in parts)
+            reach = score >= cutoff[q]
+            q, vec, score = q[reach], vec[i][reach], score[reach]
+            keep = _best(q, vec, score, k)
+            yield _scored(ids[q[keep]], vec[keep], score[keep])
+
+    return vectors.mapInArrow(resolve, _SCORED)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, lists: int = 2, scale: int = 1024) -> DataFrame:
