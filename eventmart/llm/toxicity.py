@@ -117,7 +117,7 @@ class ToxicityModel:
                 else:
                     chosen = np.zeros(0, int)
                 many = np.diff(np.append(p.first_passage, len(p.text)))
-                draws = [p.first_passage + (rng.random(len(many)) * many).astype(int) for _ in range(2 if turn else 6)]
+                draws = [p.first_passage + (rng.random(len(many)) * many).astype(int) for _ in range(4 if turn else 12)]
                 for d in draws:
                     chosen = np.concatenate([chosen, d[fit & ((y == 0) | (turn == 0))]])
                 bags.append(p.bag(chosen))
@@ -127,7 +127,7 @@ class ToxicityModel:
             which = np.concatenate([b[0] + s for b, s in zip(bags, lengths)])
             bucket, part = np.concatenate([b[1] for b in bags]), np.concatenate([b[2] for b in bags])
             balance = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-            for _ in range(40):
+            for _ in range(60):
                 value = embedding @ weight
                 margin = bias + np.bincount(which, value[bucket] * part, minlength=len(y))
                 error = balance * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y)
