@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import htmltext, langid, mixing, shards, topk, toxicity
+from eventmart.llm import decontaminate, htmltext, langid, mixing, shards, topk, toxicity
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -91,6 +95,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": (op1_decontamination, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
     "op3_top_k": (op3_top_k, OP3_SQL),
     "op4_language": (op4_language, None),

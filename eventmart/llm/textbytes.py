@@ -17,6 +17,9 @@ BLOCK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything but ASCII letters and digits and the bytes of longer characters.
+MARKS = np.ones(256, bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: ASCII lower case of each byte.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -74,12 +77,12 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
 
 
 class Words:
-    """Words of a block: ``start`` and ``end`` bytes, and ``first``: the index of each text's first word (one more at the end)."""
+    """Words of a block (runs of bytes that are not ``between``): ``start`` and ``end`` bytes, and ``first``: the index of each text's first word (one more at the end)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True, between: np.ndarray = _SPACE):
         self.data, self.offsets = (LOWER[data] if lower else data), offsets
         n = len(data)
-        word = ~_SPACE[data]
+        word = ~between[data]
         edge = np.zeros(n + 1, bool)  # a text begins here
         edge[offsets] = True
         before = np.empty(n, bool)
