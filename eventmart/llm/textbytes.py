@@ -125,6 +125,6 @@ class Words:
         last = max(len(h) - 1, 0)
         for k in range(n):
             part = h[np.minimum(at + k, last)] if len(h) else out
-            odd = np.uint64(2 * k + 3) * np.uint64(0xD6E8FEB86659FD93)
+            odd = np.uint64((2 * k + 3) * 0xD6E8FEB86659FD93 % (1 << 64))
             out += np.where(rest > k, mix(part + np.uint64(k)) * odd, np.uint64(0))
         return mix(out), text
