@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, htmltext, jaccard, langid, mixing, shards, topk, toxicity
+from eventmart.llm import decontaminate, htmltext, jaccard, langid, mixing, shards, substrings, topk, toxicity
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -61,6 +61,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -106,5 +110,6 @@ QUERIES = {
     "op5_html_text": (op5_html_text, None),
     "op6_toxicity": (op6_toxicity, None),
     "op8_jaccard_join": (op8_jaccard_join, None),
+    "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_token_shards": (op10_token_shards, None),
 }
