@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, htmltext, jaccard, langid, mixing, shards, substrings, topk, toxicity
+from eventmart.llm import decontaminate, htmltext, jaccard, langid, lm, mixing, shards, substrings, topk, toxicity
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -57,6 +57,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), word_tokenizer(), end_id=49407)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -109,6 +113,7 @@ QUERIES = {
     "op4_language": (op4_language, None),
     "op5_html_text": (op5_html_text, None),
     "op6_toxicity": (op6_toxicity, None),
+    "op7_lm_scores": (op7_lm_scores, None),
     "op8_jaccard_join": (op8_jaccard_join, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_token_shards": (op10_token_shards, None),

@@ -43,8 +43,11 @@ def encode_word(word: str, path: str) -> list[int]:
     return [t.id for piece in _PIECES.findall(word.lower()) for t in tokenize(piece.translate(shown))]
 
 
-def encode_texts(column: pa.Array, path: str, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts end to end (uint32), and how many each has; ``end_id`` is appended to each text."""
+def encode_texts(column: pa.Array, path: str, end_id: int | None = None, per_word: bool = False) -> tuple[np.ndarray, ...]:
+    """All ids of the texts end to end (uint32), and how many each has; ``end_id`` is appended to each text.
+
+    With ``per_word`` also how many ids each word has.
+    """
     data, offsets = text_bytes(column)
     words = Words(data, offsets)
     _, at, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
@@ -59,16 +62,16 @@ def encode_texts(column: pa.Array, path: str, end_id: int | None = None) -> tupl
         ids.append(known)
     length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     flat, begin = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(length) - length
-    per_word = length[which]
-    total = np.concatenate(([0], np.cumsum(per_word)))
+    size = length[which]
+    total = np.concatenate(([0], np.cumsum(size)))
     n = np.diff(total[words.first])
     tail = end_id is not None
     # where each word's ids go: behind those of the words before it and the ends of the texts before it
     to = total[:-1] + (words.text_of() if tail else 0)
     out = np.zeros(int(total[-1]) + tail * len(n), np.uint32)
-    step = np.arange(int(total[-1])) - np.repeat(total[:-1], per_word)
-    out[np.repeat(to, per_word) + step] = flat[np.repeat(begin[which], per_word) + step]
+    step = np.arange(int(total[-1])) - np.repeat(total[:-1], size)
+    out[np.repeat(to, size) + step] = flat[np.repeat(begin[which], size) + step]
     if tail:
         n = n + 1
         out[np.cumsum(n) - 1] = end_id
-    return out, n
+    return (out, n, size) if per_word else (out, n)
