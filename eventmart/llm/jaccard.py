@@ -9,9 +9,12 @@ their sets' Jaccard similarity is 0.75 or more. Links are found exactly:
    the set and one more). Each set is listed under those. Sorted by size, the
    sets under a shingle fall into bands whose neighbours' sizes may be linked;
    sets alone in their band are dropped. A band is named after its least member.
-3. The texts of a band's members meet in tiles. Parity bitmaps of their sets
-   bound the overlap from above; pairs that pass are intersected exactly unless
-   they are already connected. A tile returns a spanning tree of its links.
+3. The members of a band meet in tiles, first as parity bitmaps of their sets,
+   a few bytes each: bit counts bound every overlap from above, and members
+   that can be linked with no other are dropped.
+4. The texts of the rest meet in tiles. Pairs that pass the bound are
+   intersected exactly unless they are already connected. A tile returns a
+   spanning tree of its links.
 
 Large bands are cut into blocks, and every two blocks are a tile, so no task
 holds more than two blocks. Equal sets are one member from the start. Sets are
@@ -37,7 +40,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Size of the table of shingle counts (log 2), pieces it travels in, members of a block of a band, bits of the tiles' bitmaps.
 COUNTS_LOG2, PIECES = 18, 16
 BLOCK = 512
-LEAST_BITS, MOST_BITS, TILE_BITS = 128, 1 << 16, 1 << 24
+LEAST_BITS, MOST_BITS = 256, 1 << 15
 
 _SHIFT = np.uint64(64 - COUNTS_LOG2)
 
@@ -72,8 +75,36 @@ def listed(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[n
     return values[order][keep], owner[keep]
 
 
+def bitmaps(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Parity bitmaps: bit j is the parity of the shingles whose hash is j modulo the width, a power of 2 of twice the set at least."""
+    n = np.diff(first)
+    width = np.clip(2 ** np.ceil(np.log2(np.maximum(2 * n, 1))), LEAST_BITS, MOST_BITS).astype(np.int64)
+    begin = np.cumsum(width) - width
+    bit = np.repeat(begin, n) + (values & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(bit, minlength=int(width.sum())) & 1).astype(np.uint8)).tobytes()
+    return [packed[b // 8 : (b + w) // 8] for b, w in zip(begin.tolist(), width.tolist())]
+
+
+def _folded(maps: list[bytes]) -> np.ndarray:
+    """The bitmaps as rows of 64-bit words, all folded to the least width among them."""
+    width = min(map(len, maps))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, width // 8), axis=0) for m in maps])
+
+
+def _possible(n: np.ndarray, bitmap: np.ndarray, side: np.ndarray, i: int, top: int, one: bool) -> np.ndarray:
+    """Rows after ``i`` that may be linked with it, the nearest first; rows come by size, and those up to ``top`` have a size for it."""
+    other = np.arange(i + 1, top)
+    if not one:
+        other = other[side[other] != side[i]]
+    apart = np.bitwise_count(bitmap[other] ^ bitmap[i]).sum(axis=1, dtype=np.int64)
+    both = n[i] + n[other]
+    # overlap <= (both - apart) / 2, and a link needs overlap >= NUMERATOR / (NUMERATOR + DENOMINATOR) * both
+    may = np.flatnonzero((NUMERATOR + DENOMINATOR) * (both - apart) >= 2 * NUMERATOR * both)
+    return other[may[np.argsort(apart[may], kind="stable")]]
+
+
 def _describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n_shingles and digest of every row; and the table of shingle counts."""
+    """doc_id, n_shingles, digest and bitmap of every row; and the table of shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNTS_LOG2, np.int64)
@@ -81,17 +112,17 @@ def _describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             values, first = shingle_sets(batch.column("text"))
             counts += np.bincount((values >> _SHIFT).astype(np.int64), minlength=len(counts))
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(digests(values, first)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                names,
-            )
+            columns = [batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(digests(values, first))]
+            columns += [pa.array(bitmaps(values, first), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
         pieces = [p.astype("<u4").tobytes() for p in np.split(np.minimum(counts, 2**32 - 1), PIECES)]
         empty = pa.nulls(PIECES, pa.int64())
-        yield pa.RecordBatch.from_arrays([empty, empty, empty, pa.array(range(PIECES), pa.int32()), pa.array(pieces)], names)
+        columns = [empty, empty, empty, pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()), pa.array(pieces)]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "n_shingles", "digest", "piece", "counts"]
+    names = ["doc_id", "n_shingles", "digest", "bitmap", "piece", "counts"]
     seen = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest long, piece int, counts binary"
+        run, "doc_id long, n_shingles long, digest long, bitmap binary, piece int, counts binary"
     )
     seen = materialize(seen, "jaccard-sets")
 
@@ -107,7 +138,7 @@ def _describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     counts = np.zeros((PIECES, (1 << COUNTS_LOG2) // PIECES), np.int64)
     for piece, total in summed.collect():
         counts[piece] = np.frombuffer(total, np.int64)
-    return seen.where("piece is null").select("doc_id", "n_shingles", "digest"), counts.ravel()
+    return seen.where("piece is null").select("doc_id", "n_shingles", "digest", "bitmap"), counts.ravel()
 
 
 def _bands(docs: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -159,31 +190,17 @@ def _bands(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 def _tile(ids: np.ndarray, values: np.ndarray, first: np.ndarray, side: np.ndarray) -> tuple[list[int], list[int]]:
     """Spanning stars (least id, other id) of the links between texts of different sides, or of all if there is one side."""
-    n = np.diff(first)
-    order = np.lexsort((ids, n))
-    bits = LEAST_BITS
-    while bits < min(2 * n.max(), MOST_BITS) and 2 * bits * len(ids) <= TILE_BITS:
-        bits *= 2
-    owner = np.repeat(np.arange(len(n)), n)
-    parity = np.bincount(owner * bits + (values % np.uint64(bits)).astype(np.int64), minlength=len(n) * bits) & 1
-    bitmap = np.packbits(parity.astype(np.uint8).reshape(len(n), bits), axis=1).view(np.uint64)[order]
-    n, side = n[order], side[order]
+    order = np.lexsort((ids, np.diff(first)))
+    ids, n, side = ids[order], np.diff(first)[order], side[order]
+    maps = bitmaps(values, first)
+    bitmap = _folded([maps[i] for i in order])
     sets = [values[first[i] : first[i + 1]] for i in order]
-    root = np.arange(len(n))
-    one = side.min() == side.max()
+    root, one = np.arange(len(n)), bool(side.min() == side.max())
     top = np.searchsorted(n, DENOMINATOR * n // NUMERATOR, "right")
     for i in range(len(n)):
-        other = np.arange(i + 1, top[i])
-        if not one:
-            other = other[side[other] != side[i]]
-        other = other[root[other] != root[i]]
-        if not len(other):
+        if (root[i + 1 : top[i]] == root[i]).all():
             continue
-        apart = np.bitwise_count(bitmap[other] ^ bitmap[i]).sum(axis=1, dtype=np.int64)
-        both = n[i] + n[other]
-        # overlap <= (both - apart) / 2, and a link needs overlap >= NUMERATOR / (NUMERATOR + DENOMINATOR) * both
-        may = other[(NUMERATOR + DENOMINATOR) * (both - apart) >= 2 * NUMERATOR * both]
-        for j in may[np.argsort(apart[np.searchsorted(other, may)], kind="stable")].tolist():
+        for j in _possible(n, bitmap, side, i, top[i], one).tolist():
             if root[i] == root[j]:
                 continue
             a, b = sets[i], sets[j]
@@ -191,7 +208,6 @@ def _tile(ids: np.ndarray, values: np.ndarray, first: np.ndarray, side: np.ndarr
             if DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common):
                 low, high = min(root[i], root[j]), max(root[i], root[j])
                 root[root == high] = low
-    ids = ids[order]
     left, right = [], []
     for r in np.unique(root):
         members = np.sort(ids[root == r])
@@ -200,22 +216,47 @@ def _tile(ids: np.ndarray, values: np.ndarray, first: np.ndarray, side: np.ndarr
     return left, right
 
 
-def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """a, b: links enough to connect what is linked. ``members``: band, doc_id."""
+def _tiles(members: DataFrame, *columns: str) -> DataFrame:
+    """Members (band, doc_id, ...) dealt to tiles (band, low, high): every two blocks of a band meet in one. ``_block``: a row's own."""
     size = members.groupBy("band").agg(F.count("*").alias("_size"))
-    dealt = members.join(size, "band").withColumn("_blocks", F.ceil(F.col("_size") / BLOCK).cast("int"))
+    dealt = members.join(size, "band").where("_size > 1").withColumn("_blocks", F.ceil(F.col("_size") / BLOCK).cast("int"))
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("_blocks")).cast("int"))
-    dealt = dealt.select("band", "doc_id", "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_with"))
-    dealt = dealt.select("band", F.least("_block", "_with").alias("low"), F.greatest("_block", "_with").alias("high"), "_block", "doc_id")
+    dealt = dealt.select("band", "doc_id", *columns, "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_with"))
+    return dealt.select("band", F.least("_block", "_with").alias("low"), F.greatest("_block", "_with").alias("high"), "_block", "doc_id", *columns)
+
+
+def _may_be_linked(members: DataFrame) -> DataFrame:
+    """band and doc_id of the members (band, doc_id, n_shingles, bitmap) whose bitmaps allow a link within the band."""
+
+    def bound(table: pa.Table) -> pa.Table:
+        n = table.column("n_shingles").to_numpy()
+        order = np.argsort(n, kind="stable")
+        n, side = n[order], table.column("_block").to_numpy()[order]
+        maps = table.column("bitmap").to_pylist()
+        bitmap, one = _folded([maps[i] for i in order]), bool(side.min() == side.max())
+        top, able = np.searchsorted(n, DENOMINATOR * n // NUMERATOR, "right"), np.zeros(len(n), bool)
+        for i in range(len(n)):
+            if top[i] > i + 1:
+                found = _possible(n, bitmap, side, i, top[i], one)
+                able[found] = True
+                able[i] |= len(found) > 0
+        keep = pa.array(order[able])
+        return pa.table({"band": table.column("band").take(keep), "doc_id": table.column("doc_id").take(keep)})
+
+    tiles = _tiles(members, "n_shingles", "bitmap")
+    return tiles.groupBy("band", "low", "high").applyInArrow(bound, "band long, doc_id long").distinct()
+
+
+def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """a, b: links enough to connect what is linked. ``members``: band, doc_id."""
 
     def join(table: pa.Table) -> pa.Table:
-        texts = table.column("text").combine_chunks()
-        values, first = shingle_sets(texts)
+        values, first = shingle_sets(table.column("text").combine_chunks())
         left, right = _tile(table.column("doc_id").to_numpy(), values, first, table.column("_block").to_numpy())
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(dealt, "doc_id").groupBy("band", "low", "high").applyInArrow(join, "a long, b long")
+    return texts.join(_tiles(members), "doc_id").groupBy("band", "low", "high").applyInArrow(join, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -229,10 +270,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty result; other columns are not looked at.
     """
     described, counts = _describe(docs)
-    heads = described.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("head"))
+    heads = described.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")
+    )
     bands = _bands(docs.where("doc_id is not null"), counts)
-    members = materialize(bands.join(heads, "digest").select("band", F.col("head").alias("doc_id")), "jaccard-bands")
-    linked = components(_links(docs, members))
+    members = bands.join(heads, "digest").select("band", F.col("head").alias("doc_id"), "n_shingles", "bitmap")
+    members = materialize(members, "jaccard-bands")
+    able = materialize(_may_be_linked(members), "jaccard-able")
+    linked = components(_links(docs, able))
     classes = heads.join(linked, heads["head"] == linked["node"], "left").select("digest", F.coalesce("component", "head").alias("_class"))
     joined = described.join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("_class"))
