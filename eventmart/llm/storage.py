@@ -15,4 +15,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    # The table replaces the shuffle files it was made from. Spark deletes those once the driver's
+    # JVM has collected the plan that refers to them, which on an idle driver may take very long.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ left is dropped at once. Sorting all positions of a corpus is not needed:
 
 1. Of the q-grams in each string one is its anchor: the one with the least
    hash, the last one of equals. Equal strings have equal anchors at equal
-   places. Anchors (one position in 17 or so) are the initial buckets; those
+   places. Anchors (one position in 14 or so) are the initial buckets; those
    that only one document has are dropped.
 2. For the rest, the bytes around the anchor travel to its bucket. There each
    string is refined: identifiers of q-grams are joined to identifiers of 2q
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.storage import materialize
 from eventmart.llm.textbytes import blocks, mix, text_bytes
 
-LENGTH, Q = 50, 16
+LENGTH, Q = 50, 24
 #: Windows of a bucket task refined at once.
 WINDOWS = 1 << 19
 
@@ -40,11 +40,15 @@ _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def gram_ids(data: np.ndarray) -> np.ndarray:
-    """Identifiers of the q-grams at all positions that have one."""
+    """Identifiers of the q-grams at all positions that have one; Q is a multiple of 8."""
     x = data.astype(np.uint64)
     for shift in (1, 2, 4):
         x = x[:-shift] | x[shift:] << np.uint64(8 * shift)
-    return mix(x[:-8] * _C1 ^ mix(x[8:] + _C2))
+    n = len(data) - Q + 1
+    out = mix(x[:n] + _C2)
+    for k in range(8, Q, 8):
+        out = mix(out * _C1 ^ x[k : k + n])
+    return out
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
