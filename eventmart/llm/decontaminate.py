@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.llm.storage import unused
 from eventmart.llm.textbytes import MARKS, Words, blocks, text_bytes
 
 SEED = 4
@@ -213,7 +214,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with their columns."""
-    name = "_contamination"
-    while name in docs.columns:
-        name += "_"
+    name = unused("_contamination", docs)
     return annotate(docs, benchmark, threshold, name).where(F.size(name) == 0).drop(name)

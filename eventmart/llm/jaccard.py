@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.graph import components
-from eventmart.llm.storage import materialize
+from eventmart.llm.storage import materialize, unused
 from eventmart.llm.textbytes import Words, blocks, mix, text_bytes
 
 SHINGLE = 5
@@ -286,6 +286,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The row of ``docs`` with the least doc_id of each class, with its columns. Rows without a doc_id stay."""
-    heads = near_duplicates(docs).where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.where("doc_id is not null").join(heads, F.col("doc_id") == F.col("_id")).select(*docs.columns)
+    key = unused("_id", docs)
+    heads = near_duplicates(docs).where("component_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = docs.join(heads, F.col("doc_id").cast("long") == F.col(key)).drop(key)
     return kept.unionByName(docs.where("doc_id is null"))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.storage import materialize
+from eventmart.llm.storage import materialize, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hex digits of the seeded order that cut a source into slices: no task orders more than a slice.
@@ -109,10 +109,10 @@ def mix_sources(
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """Every document as often as the mix takes it, with the columns of ``docs``; documents taken 0 times go.
 
-    ``docs`` must have one row per doc_id for this, but may hold null ones.
+    Rows that repeat a doc_id are each taken as often as the most taken of them.
     """
-    times = mixed.where("repeats > 0").select(F.col("doc_id").alias("_id"), "repeats")
-    columns = [F.col(c) for c in docs.columns]
-    return docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))).alias("_copy")
-    ).drop("_copy")
+    key, times, copy = unused("_id", docs), unused("_times", docs), unused("_copy", docs)
+    taken = mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("repeats").alias(times)).where(F.col(times) > 0)
+    repeated = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(key)))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    return repeated.withColumn(copy, each).drop(key, times, copy)

@@ -19,3 +19,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     # JVM has collected the plan that refers to them, which on an idle driver may take very long.
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -213,3 +213,14 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) ->
     return docs.select(F.col("doc_id").cast("long"), (key_remainder(folds) == held).alias("held_out"), "text").mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int"
     )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
+    """The rows of ``docs`` whose score is under 0.5, with their columns. Learns as ``score`` does."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, folds, held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text", BLOCK_BYTES // 2):
+            yield batch.filter(pa.array(shared.value.score(batch.column("text")) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
