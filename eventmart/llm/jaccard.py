@@ -256,7 +256,8 @@ def _links(docs: DataFrame, members: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(_tiles(members), "doc_id").groupBy("band", "low", "high").applyInArrow(join, "a long, b long")
+    # members grow with the documents, so they are never broadcast: the plan is the same at every size
+    return texts.join(_tiles(members).hint("merge"), "doc_id").groupBy("band", "low", "high").applyInArrow(join, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
