@@ -144,6 +144,21 @@ LABELLED_PAGES = (
     """<body><p><a href="/l">-Log in</a></p><p>+In the hills above the lake there is a path that few people know, and fewer still
     have walked to its end in winter.</p><p>+It begins behind the mill.</p><p>+From there it climbs through pines for an hour
     before the trees give way to grass and the wind is heard.</p><p><a href="/m">-Maps</a> <a href="/s">-Shop</a></p>""",
+    """<body><div class="menu"><a href="/m">-Menu</a></div><article><p>+Only this was written.</p></article>""",
+    """<body><article><h1>+Two boats</h1><p>+One of them sank in the storm, and the other was painted green and sold in the spring.
+    </p><p>+So it goes</p></article></body>""",
+    """<body><main><p>+A page may hold one paragraph and nothing else at all, and it is still the article of that page.</p></main>""",
+    """<body><div>-Page 3 of 9</div><p>+The last paragraph of a page without any marks may well be the last block of it, and long.</p>
+    """,
+    """<body><div>-Nothing here yet</div>""",
+    """<body><div class="banner">-Shoes for all seasons and weathers</div><article><p>+It was late.</p><p>+We went home by the
+    old road, as the new one was under water.</p></article><footer>-Made in a small office near the river</footer>""",
+    """<body><div class="promo">-Win a trip</div><article><h1>+Bread</h1><p>+Flour, water, salt, time.</p></article>
+    <div id="related">-Read next about butter and jam</div><footer>-The Bread Paper, second floor, Mill Lane 4</footer>""",
+    """<body><aside>-Opinions of readers do not have to be those of this paper</aside><main><p>+Snow.</p></main><form>-Tell us
+    what you think of it</form><footer>-Imprint, terms, privacy and jobs</footer>""",
+    """<body><div class="notice">-This site will be closed on Sunday from noon until three</div><p>+On the last day of the year the
+    bells of all nine churches were rung at the same time, which had never been done.</p><footer>-Bell News</footer>""",
 )
 
 
