@@ -14,10 +14,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     step. The table is left in that folder, as results may be read later.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    # The table replaces the shuffle files it was made from. Spark deletes those once the driver's
-    # JVM has collected the plan that refers to them, which on an idle driver may take very long.
-    df.sparkSession.sparkContext._jvm.System.gc()
+    # The table replaces the shuffle files it was made from; this has Spark drop them when the write ends.
+    # Another query of the session that runs meanwhile would at worst compute a stage again.
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
