@@ -27,7 +27,7 @@ BUCKETS_LOG2 = 16
 NGRAMS = (3, 4, 5, 6)
 DIM = 8
 PASSAGE = 8
-SAMPLE_PER_LABEL = {1: 1500, 0: 2500}
+SAMPLE_PER_LABEL = {1: 1300, 0: 2200}
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,7 +89,8 @@ class Passages:
             k = np.maximum(self.end[word] - self.start[word] - n + 1, 0)
             w = np.repeat(np.arange(len(word)), k)
             at = np.arange(len(w)) - np.repeat(np.cumsum(k) - k, k) + self.start[word][w]
-            out.append((which[w], h[at], 1.0 / (self.grams[word][w] * size[which[w]])))
+            share = (1.0 / (self.grams[word] * size[which])).astype(np.float32)
+            out.append((which[w].astype(np.int32), h[at], share[w]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -101,7 +102,7 @@ class ToxicityModel:
         if toxic.min(initial=1) == toxic.max(initial=0) or len(toxic) < 8:
             return  # nothing to tell apart: every text has the share of toxic ones
         rng = np.random.default_rng(seed)
-        parts = [Passages(b.column("text")) for b in blocks([pa.record_batch([texts], ["text"])], "text", 4 * BLOCK_BYTES)]
+        parts = [Passages(b.column("text")) for b in blocks([pa.record_batch([texts], ["text"])], "text")]
         sizes = np.cumsum([0] + [len(p.first_passage) for p in parts])
         fits = rng.random(len(toxic)) < 0.75
         embedding = rng.normal(0, 0.1, (1 << BUCKETS_LOG2, DIM)).astype(np.float32)
@@ -117,15 +118,16 @@ class ToxicityModel:
                 else:
                     chosen = np.zeros(0, int)
                 many = np.diff(np.append(p.first_passage, len(p.text)))
-                draws = [p.first_passage + (rng.random(len(many)) * many).astype(int) for _ in range(4 if turn else 12)]
+                draws = [p.first_passage + (rng.random(len(many)) * many).astype(int) for _ in range(3 if turn else 6)]
                 for d in draws:
                     chosen = np.concatenate([chosen, d[fit & ((y == 0) | (turn == 0))]])
                 bags.append(p.bag(chosen))
                 labels.append(y[p.text[chosen]])
             y = np.concatenate(labels).astype(np.float64)
             lengths = np.cumsum([0] + [len(x) for x in labels])
-            which = np.concatenate([b[0] + s for b, s in zip(bags, lengths)])
+            which = np.concatenate([b[0] + np.int32(s) for b, s in zip(bags, lengths)])
             bucket, part = np.concatenate([b[1] for b in bags]), np.concatenate([b[2] for b in bags])
+            del bags
             balance = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
             for _ in range(60):
                 value = embedding @ weight
