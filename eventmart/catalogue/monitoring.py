@@ -140,7 +140,7 @@ where end_time < timestamp '{END}' and start_time >= timestamp '{START}'""",
     ),
     "rule_outcomes": (
         lambda spark, sf: rule_outcomes(
-            _pipelines(spark, sf), _runs(spark, sf), _event_log(spark, sf), _names(spark, sf), *_between()
+            _pipelines(spark, sf), _runs(spark, sf), _event_log(spark, sf), _names(spark, sf), *_between(), match_dataset=False
         ),
         f"""with {RUNS_SQL.format(length="1 day")}, {REPORTS_SQL},
 reports as (

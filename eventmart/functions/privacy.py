@@ -6,6 +6,7 @@ functions and views, and Spark folds it once the roles are known.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
@@ -25,8 +26,15 @@ TEXT_MASK = "*****"
 TAIL_MASK = "***"
 
 
+_ROLE = re.compile(r"[A-Za-z0-9_-]+")
+
+
 def _roles(roles: Sequence[str]) -> str:
-    quoted = ",".join("'" + r.replace("'", "\\'") + "'" for r in roles)
+    """The roles as SQL text. Names that could end a literal are refused, not escaped."""
+    for role in roles:
+        if not _ROLE.fullmatch(role):
+            raise ValueError(f"not a role name: {role!r}")
+    quoted = ",".join(f"'{r}'" for r in roles)
     return f"cast(array({quoted}) as array<string>)"
 
 

@@ -30,7 +30,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     Runs a count, so pass a checkpoint or a table scan of a few narrow columns.
     Larger ones are returned as they are and joined by shuffle.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
+    few = df.count() <= max_rows
     return F.broadcast(df) if few else df
 
 

@@ -142,12 +142,12 @@ def rule_outcomes(
     names: DataFrame | Sequence[str] | None,
     start,
     end,
-    match_dataset: bool = False,
+    match_dataset: bool = True,
 ) -> DataFrame:
     """Passed and failed records per (run, flow, expectation) within [start, end].
 
-    Every flow of a run is paired with every expectation of that run; with
-    ``match_dataset`` only with those on the flow's own dataset. Of several
+    A flow is paired with the expectations on its own dataset; without
+    ``match_dataset`` with every expectation of its run. Of several
     reports the one over most rows stays. The share is null when no row was
     written.
     """
@@ -174,8 +174,8 @@ def rule_outcomes(
     else:
         found = reports.drop("dataset").join(flows, run)
     share = F.try_divide(
-        F.expr("try_cast(passed_records as int)") * F.lit(1.0).cast("decimal(2,1)"),
-        F.expr("try_cast(total_rows as int)"),
+        F.expr("try_cast(passed_records as bigint)") * F.lit(1.0).cast("decimal(2,1)"),
+        F.expr("try_cast(total_rows as bigint)"),
     )
     joined = found.join(inside, run)
     unique = top_per_group(

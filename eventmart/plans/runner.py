@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.operators.history import BUCKET, BUCKETS, with_bucket
+from eventmart.operators.history import BUCKET, BUCKETS, current_rows, with_bucket
 from eventmart.operators.incremental import (
     LATE,
     WATERMARK_SCHEMA,
@@ -26,6 +26,7 @@ from eventmart.sources.catalog import (
     delete_rows,
     drop_table,
     finish_swap,
+    keep_buckets,
     read_table,
     replace_table,
     rewrite_partitions,
@@ -49,6 +50,8 @@ class Mart:
     prune: Callable[[DataFrame, DataFrame], DataFrame] = field(default=lambda source, touched: source)
     # Partition column of the stored mart; by default a hash bucket of the slice keys.
     partition: str = BUCKET
+    # Column that says when a row was found: equal rows keep the value they had.
+    stamp: str | None = None
     # Runs over the whole merged mart, which is then stored unpartitioned.
     finish: Callable[[DataFrame], DataFrame] | None = None
 
@@ -90,18 +93,24 @@ def content_mart() -> Mart:
     return Mart(content.content_engagement, content.KEYS, finish=content.rank_content)
 
 
+def _current(source: DataFrame) -> DataFrame:
+    return current_rows(source) if "valid_to" in source.columns else source
+
+
 def ad_mart() -> Mart:
-    return Mart(ad_plans.ad_performance, ["ad_id"])
+    # Of a type-2 history of ads the open versions count: one row per ad.
+    return Mart(ad_plans.ad_performance, ["ad_id"], prepare=_current)
 
 
 def anomaly_mart(**options) -> Mart:
     # Running addresses and changes of country depend on a user's whole history.
-    return Mart(lambda events: anomalies.anomaly_flags(events, **options), ["user_id"])
+    return Mart(lambda events: anomalies.anomaly_flags(events, **options), ["user_id"], stamp="detection_timestamp")
 
 
 def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str = LATE) -> DataFrame:
-    """Slice keys with a row past the watermark in any source."""
-    slices = [incremental_slice(mart.prepare(s), watermark, late=late) for s in sources]
+    """Slice keys with a row past the watermark in any source; one watermark for all, or a list with one for each."""
+    marks = watermark if isinstance(watermark, (list, tuple)) else [watermark] * len(sources)
+    slices = [incremental_slice(mart.prepare(s), mark, late=late) for s, mark in zip(sources, marks, strict=True)]
     return affected_keys(slices, mart.slice_keys)
 
 
@@ -112,8 +121,12 @@ def refresh_rows(mart: Mart, target: DataFrame, sources: Sequence[DataFrame], to
     ``mart.finish`` is still to be run.
     """
     history = [of_keys(mart.prepare(s), touched, mart.slice_keys) for s in sources]
-    labels = mart.label(touched)
-    return replace_keys(target, mart.build(*history), labels, labels.columns)
+    labels, built = mart.label(touched), mart.build(*history)
+    if mart.stamp:
+        grain = [c for c in built.columns if c != mart.stamp]
+        known = target.groupBy(*grain).agg(F.min(mart.stamp).alias("__stamp"))
+        built = null_safe_join(built, known, grain, "left").withColumn(mart.stamp, F.coalesce("__stamp", mart.stamp)).drop("__stamp")
+    return replace_keys(target, built.select(*target.columns), labels, labels.columns)
 
 
 def _placed(df: DataFrame, mart: Mart, buckets: int) -> DataFrame:
@@ -162,48 +175,55 @@ def run_mart(
     late: str = LATE,
     buckets: int = BUCKETS,
 ) -> None:
-    """Brings a mart table up to date and moves its watermark.
+    """Brings a mart table up to date and moves its watermarks.
 
     Only partitions with a touched key are read and rewritten. ``refresh="full"``
-    drops the mart and its watermark first. The new watermark is the greatest
-    ``updated_at`` of the slice, read before the rows are, so later arrivals
-    fall into the next slice. ``buckets`` must stay the same for a stored mart.
+    drops the mart and its watermarks first. Every source has its own, so one
+    that lags the others loses nothing: the first goes by the mart's name, the
+    others by name and table. A new watermark is the greatest ``updated_at`` of
+    the source's slice, read before the rows are, so later arrivals fall into
+    the next slice. ``buckets`` is stored with the mart; another number fails.
     """
     if refresh not in ("incremental", "full"):
         raise ValueError("refresh is 'incremental' or 'full'")
+    entities = [name, *(f"{name}:{t}" for t in source_tables[1:])]
     for table in (target_table, watermark_table):
         finish_swap(spark, table)
     if refresh == "full":
         drop_table(spark, target_table)
         if table_exists(spark, watermark_table):
-            delete_rows(spark, watermark_table, F.col("entity_name") == name)
+            delete_rows(spark, watermark_table, F.col("entity_name").isin(entities))
     known = table_exists(spark, watermark_table)
-    watermark = watermark_value(read_table(spark, watermark_table), name) if known else None
+    marks = [watermark_value(read_table(spark, watermark_table), e) if known else None for e in entities]
     sources = [read_table(spark, t) for t in source_tables]
     # Within the slice, so that files without new rows are skipped.
-    newest = [incremental_slice(s, watermark, late=late).agg(F.max("updated_at")).take(1)[0][0] for s in sources]
-    reached = max((t for t in (*newest, watermark) if t is not None), default=None)
+    newest = [incremental_slice(s, m, late=late).agg(F.max("updated_at")).take(1)[0][0] for s, m in zip(sources, marks)]
+    reached = [max((t for t in pair if t is not None), default=None) for pair in zip(newest, marks)]
 
-    if watermark is None or not table_exists(spark, target_table):
+    bucketed = mart.partition == BUCKET and not mart.finish
+    if all(m is None for m in marks) or not table_exists(spark, target_table):
         _first_build(mart, sources, target_table, buckets)
+        if bucketed:
+            keep_buckets(spark, target_table, buckets)
     else:
+        if bucketed:
+            keep_buckets(spark, target_table, buckets)
         # Used several times; stored once, and sent to all tasks only if small.
         ensure_checkpoint_dir(spark)
-        touched = touched_keys(mart, sources, watermark, late).checkpoint()
+        touched = touched_keys(mart, sources, marks, late).checkpoint()
         if touched.take(1):
             _refresh(mart, sources, target_table, broadcast_if_small(touched), buckets)
-    if reached != watermark:
-        row = spark.createDataFrame([(name, reached)], WATERMARK_SCHEMA)
-        upsert_table(row, watermark_table, ["entity_name"])
+    moved = [(e, r) for e, r, m in zip(entities, reached, marks) if r != m]
+    if moved:
+        upsert_table(spark.createDataFrame(moved, WATERMARK_SCHEMA), watermark_table, ["entity_name"])
 
 
+COST_MEASURES = ("dbu_consumed", "estimated_cost_usd")
 # Grain of the stored monitors.
 MONITOR_KEYS = {
     "run_health": ["pipeline_id", "update_id"],
     "rule_outcomes": ["pipeline_id", "update_id", "flow_name", "expectations_name"],
-    "run_cost": [
-        "update_id", "sku_name", "usage_start_time", "usage_end_time", "dbu_consumed", "estimated_cost_usd", "workspace_id",
-    ],
+    "run_cost": ["pipeline_id", "update_id", "sku_name", "usage_start_time", "usage_end_time", "workspace_id"],
     "table_growth": ["table_catalog", "table_schema", "table_name", "snapshot_date"],
 }
 
@@ -212,7 +232,13 @@ def store_monitor(rows: DataFrame, monitor: str, table: str, refresh: str = "inc
     """Merges a monitor's rows into its table; ``refresh="full"`` starts the table anew."""
     if refresh == "full":
         drop_table(rows.sparkSession, table)
-    upsert_table(rows, table, MONITOR_KEYS[monitor], null_safe=True)
+    keys = MONITOR_KEYS[monitor]
+    if monitor == "run_cost":
+        # Measures are no keys, so that a corrected price replaces its row; usage rows of one key are added up.
+        others = [F.first(c, ignorenulls=True).alias(c) for c in rows.columns if c not in (*keys, *COST_MEASURES)]
+        sums = [F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in COST_MEASURES]
+        rows = rows.groupBy(*keys).agg(*others, *sums).select(*rows.columns)
+    upsert_table(rows, table, keys, null_safe=True)
 
 
 def erase_from_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], subjects: DataFrame, key: str) -> None:

@@ -49,6 +49,21 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"drop table if exists {table}")
 
 
+BUCKETS_PROPERTY = "eventmart.buckets"
+
+
+def keep_buckets(spark: SparkSession, table: str, buckets: int) -> None:
+    """Stores the number of buckets a table is laid out in; fails if it was laid out in another.
+
+    With another number the same key would lie in two partitions.
+    """
+    found = spark.sql(f"show tblproperties {table}").filter(F.col("key") == BUCKETS_PROPERTY).take(1)
+    if not found:
+        spark.sql(f"alter table {table} set tblproperties ('{BUCKETS_PROPERTY}' = '{int(buckets)}')")
+    elif int(found[0]["value"]) != buckets:
+        raise ValueError(f"{table} has {found[0]['value']} buckets, not {buckets}")
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

@@ -112,8 +112,8 @@ def read_landing_csv(
     return _bronze_order(with_audit(rows), schema)
 
 
-def infer_csv_schema(spark: SparkSession, path: str, share: float = 0.01) -> StructType:
-    """One-off schema inference on a share of the lines, to be stored and passed on."""
+def infer_csv_schema(spark: SparkSession, path: str, share: float = 1.0) -> StructType:
+    """One-off schema inference, to be stored and passed on. A smaller share of the lines may miss the values that decide a type."""
     return (
         spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", share).csv(path).schema
     )

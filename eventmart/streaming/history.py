@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from eventmart.operators.history import BUCKET, BUCKETS, rebuild_keys, with_bucket
 from eventmart.operators.joins import broadcast_if_small
 from eventmart.session import ensure_checkpoint_dir
-from eventmart.sources.catalog import overwrite_partitions, read_table, table_exists
+from eventmart.sources.catalog import keep_buckets, overwrite_partitions, read_table, table_exists
 
 
 def apply_batch(
@@ -34,13 +34,20 @@ def apply_batch(
     """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
+    exists = table_exists(spark, table)
+    if exists:
+        keep_buckets(spark, table, buckets)
+    if BUCKET in batch.columns:
+        # Staged in another number of buckets, a key's changes would be looked for in the wrong one.
+        placed = with_bucket(batch.select(*keys, F.col(BUCKET).alias("__staged")), keys, buckets)
+        if placed.filter(F.col(BUCKET) != F.col("__staged")).take(1):
+            raise ValueError(f"changes are not staged in {buckets} buckets")
     stored = with_bucket(batch.select(*keys).distinct(), keys, buckets).checkpoint()
     touched = broadcast_if_small(stored.select(*keys))
     # At most ``buckets`` rows; Spark prunes partitions by them.
     used = F.broadcast(stored.select(BUCKET).distinct())
     if BUCKET in staged.columns:
         staged = staged.join(used, BUCKET, "left_semi").drop(BUCKET)
-    exists = table_exists(spark, table)
     old = read_table(spark, table).join(used, BUCKET, "left_semi").drop(BUCKET) if exists else None
     history = with_bucket(rebuild_keys(old, staged, touched, keys, sequence_by, track), keys, buckets)
     # One task per bucket and piece of it, so that a bucket is a few files.
@@ -50,6 +57,7 @@ def apply_batch(
     else:
         writer = history.write.partitionBy(BUCKET)
         (writer.option("path", location) if location else writer).saveAsTable(table)
+        keep_buckets(spark, table, buckets)
 
 
 def run_history(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventmart.operators.history import BUCKET, with_bucket
+from eventmart.operators.history import BUCKET, BUCKETS, with_bucket
 from eventmart.operators.quality import Rule, clean
 from eventmart.sources.landing import read_landing_csv, read_landing_json
 
@@ -64,19 +64,20 @@ def clean_folder(
     continuous: str | None = None,
     bucket_keys: Sequence[str] = (),
     date_of: str | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Bronze folder to silver folder with the same rules as the batch path.
 
     Warn counters reach listeners as an observed metric of each progress event.
     With ``bucket_keys`` the silver folder is partitioned by their hash bucket,
-    as staged changes for a history should be; with ``date_of`` by the local
+    as staged changes for a history should be (in as many ``buckets``); with ``date_of`` by the local
     date of that column (``event_date``), as events should be.
     """
     stream = spark.readStream.schema(bronze_schema).parquet(bronze)
     cleaned = clean(stream, silver_schema, rules, observation_name)
     parts = []
     if bucket_keys:
-        cleaned = with_bucket(cleaned, bucket_keys)
+        cleaned = with_bucket(cleaned, bucket_keys, buckets)
         parts.append(BUCKET)
     if date_of:
         cleaned = cleaned.withColumn("event_date", F.to_date(date_of))
