@@ -12,15 +12,17 @@ def hourly_active_users(events: DataFrame) -> DataFrame:
     """Distinct users, events and distinct sessions per local date and hour.
 
     Groups on the date and the hour number; the text form is made once per
-    group. ``new_sessions`` counts the sessions active in the bucket.
+    group. ``new_sessions`` counts the sessions active in the bucket. Events of
+    one session are one row before the distinct counts multiply rows.
     """
+    hours = [F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("h"), "platform", "country"]
     return (
-        events.groupBy(
-            F.to_date("timestamp").alias("day"), F.hour("timestamp").alias("h"), "platform", "country"
-        )
+        events.groupBy(*hours, "user_id", "session_id")
+        .agg(F.count("event_id").alias("n"))
+        .groupBy("day", "h", "platform", "country")
         .agg(
             F.count_distinct("user_id").alias("unique_users"),
-            F.count("event_id").alias("total_events"),
+            F.sum("n").alias("total_events"),
             F.count_distinct("session_id").alias("new_sessions"),
         )
         .select(
