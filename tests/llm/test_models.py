@@ -162,6 +162,21 @@ def test_base_scores_equal_brute_force(spark):
     assert lm.score(tables.docs(spark, []), word_tokenizer(), 49407).count() == 0
 
 
+def test_scores_use_the_counts_of_all_words(spark, monkeypatch):
+    """Which words' counts are sent to all tasks changes no score."""
+    rows = tables.doc_rows() + [(3, tables.doc_rows()[3][1], *[None] * 5)]
+
+    def scores():
+        found = lm.score(tables.docs(spark, rows), word_tokenizer(), 49407).collect()
+        return sorted((r.doc_id, r.n_known, r.base_score, r.score) for r in found)
+
+    whole = scores()
+    monkeypatch.setattr(lm, "TOP_WORDS", 20)
+    few = scores()
+    assert len(few) == len(rows) and [r[:2] for r in few] == [r[:2] for r in whole]
+    assert np.allclose([r[2:] for r in few], [r[2:] for r in whole], rtol=1e-6)
+
+
 def test_page_text():
     tree = htmltext.train_tree(*htmltext.labelled_table())
     x, y = htmltext.labelled_table()
