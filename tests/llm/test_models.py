@@ -177,6 +177,25 @@ def test_scores_use_the_counts_of_all_words(spark, monkeypatch):
     assert np.allclose([r[2:] for r in few], [r[2:] for r in whole], rtol=1e-6)
 
 
+def test_the_model_learns_from_all_training_texts(spark, monkeypatch):
+    """More texts than a sample would hold, in several rounds and tasks; what only the later ones have is learned."""
+    monkeypatch.setattr(lm, "SHARE", 100)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["red", "green"]) + " " + rng.choice(["house", "tree"]) for _ in range(20)) for _ in range(2000)]
+    training = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0]), (5, texts[5])], "doc_id long, text string").repartition(5)
+    scorer, _ = lm.train(training, word_tokenizer(), 49407)
+    assert scorer.learned == 2002 - lm.WEIGHT_DOCS - (5 in _weighing(training))
+    ids, n = lm.encode_texts(pa.array(texts[:50]), word_tokenizer(), 49407)
+    # each pair of words is one of four: about half a bit a word and more than that if nothing was learned
+    assert scorer.model.log_probabilities(ids, n).mean() > -0.9
+
+
+def _weighing(training):
+    order = lm.F.xxhash64(lm.F.lit(17), "doc_id")
+    rows = training.select("doc_id").where("doc_id is not null").distinct().orderBy(order, "doc_id").limit(lm.WEIGHT_DOCS)
+    return {r.doc_id for r in rows.collect()}
+
+
 def test_page_text():
     tree = htmltext.train_tree(*htmltext.labelled_table())
     x, y = htmltext.labelled_table()
