@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are compared in lower case and without marks. Runs of ``SEED`` words of
-the test items are seeds. A first pass counts in how many documents each seed
-occurs; seeds that few documents have are rare. A second pass pairs a document
-with the items it shares a rare seed with (or several seeds of any kind, so an
-item that leaked everywhere is found too), and aligns the item with the words
-around the seeds. The score is the alignment's share of a perfect one.
+the test items are seeds. A document is paired with every item it shares a seed
+with, however common the seed is, so the verdict on a document does not depend
+on the others. Pairs whose item has too few words in common with the document
+to reach the threshold under any alignment are dropped; for the rest, the item
+is aligned with the words around the seeds. The score is the alignment's share
+of a perfect one.
 
 Items are taken in blocks, so what is sent to tasks is bounded by the block.
 """
@@ -23,15 +24,11 @@ from eventmart.llm.storage import unused
 from eventmart.llm.textbytes import MARKS, Words, blocks, text_bytes
 
 SEED = 4
-#: A seed is rare in at most this share of the documents, or this many; the rarest few of each item always are.
-RARE_SHARE, RARE_DOCS, RAREST = 0.001, 10, 4
-#: So many different seeds of an item pair it with a document even if none is rare.
-SEVERAL = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Bytes of item text in a block.
 ITEM_BYTES = 16 << 20
-#: Cells of an alignment row handled at once.
+#: Cells of an alignment row, or words of items, handled at once.
 CELLS = 1 << 20
 
 HITS = "array<struct<item_id:bigint,score:double,seeds:bigint,at_word:bigint>>"
@@ -62,7 +59,6 @@ class Items:
         self.kinds, self.kind = np.unique(self.seed, return_inverse=True)
         self.begin = np.searchsorted(self.seed, self.kinds)
         self.end = np.append(self.begin[1:], len(self.seed))
-        self.rare = np.zeros(len(self.seed), bool)
 
     def matches(self, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the given seeds are an item's, and their kinds."""
@@ -72,14 +68,6 @@ class Items:
         found = np.flatnonzero(self.kinds[kind] == seed)
         return found, kind[found]
 
-    def mark_rare(self, documents: np.ndarray, total: int) -> None:
-        """``documents``: of how many documents each kind of seed is part."""
-        count = documents[self.kind]
-        order = np.lexsort((self.place, count, self.item))
-        first = np.searchsorted(self.item[order], self.item[order])
-        self.rare = count <= max(RARE_DOCS, RARE_SHARE * total)
-        self.rare[order[np.arange(len(order)) - first < RAREST]] = True
-
 
 def align(queries: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Smith-Waterman scores of pairs of hash arrays, and the word of the target where the best alignment ends."""
@@ -115,6 +103,25 @@ def align(queries: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndar
     return best, where
 
 
+def _may_reach(items: Items, hashes: np.ndarray, text: np.ndarray, doc: np.ndarray, item: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether so many words of each item are in the document (words ``hashes`` of ``text``) that an alignment may reach the threshold."""
+    odd = np.uint64(0xC2B2AE3D27D4EB4F)
+    have = np.unique(hashes + text.astype(np.uint64) * odd)
+    size = np.diff(items.first)[item]
+    upto = np.cumsum(size)
+    out, start = np.zeros(len(doc), bool), 0
+    while start < len(doc):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CELLS, "right")))
+        n = size[start:end]
+        begin = np.cumsum(n) - n
+        key = items.words[np.arange(n.sum()) + np.repeat(items.first[item[start:end]] - begin, n)]
+        key = key + np.repeat(doc[start:end].astype(np.uint64) * odd, n)
+        inside = have[np.minimum(np.searchsorted(have, key), len(have) - 1)] == key
+        out[start:end] = np.add.reduceat(inside.astype(np.int64), begin) >= threshold * n
+        start = end
+    return out
+
+
 def _hits(items: Items, column: pa.Array, threshold: float) -> list[list[dict]]:
     """Contaminating items of each text."""
     words = Words(*text_bytes(column), between=MARKS)
@@ -128,10 +135,9 @@ def _hits(items: Items, column: pa.Array, threshold: float) -> list[list[dict]]:
     found, kind = np.repeat(found, n), np.repeat(kind, n)
     item, doc, place = items.item[entry], text[found], at[found] - words.first[text[found]]
     pair, of = np.unique(doc * np.int64(len(items.ids)) + item, return_inverse=True)
-    rare = np.bincount(of, items.rare[entry]) > 0
     kinds = np.unique(np.stack([of, kind]), axis=1)[0]
     different = np.bincount(kinds, minlength=len(pair))
-    chosen = rare | (different >= SEVERAL)
+    chosen = _may_reach(items, hashes, words.text_of(), *np.divmod(pair, len(items.ids)), threshold)
     length = np.diff(items.first)[item]
     # windows of four item lengths around each place where the item would begin
     window = np.unique(np.stack([of, (place - items.place[entry]) // length])[:, chosen[of]], axis=1)
@@ -141,9 +147,12 @@ def _hits(items: Items, column: pa.Array, threshold: float) -> list[list[dict]]:
         size = int(items.first[i + 1] - items.first[i])
         low = max(0, w * size - size)
         lo, hi = words.first[d] + low, min(words.first[d] + (w + 3) * size, words.first[d + 1])
+        query, target = items.words[items.first[i] : items.first[i + 1]], hashes[lo:hi]
+        if np.isin(query, target).sum() < threshold * size:
+            continue
         jobs.append((p, d, i, size))
-        queries.append(items.words[items.first[i] : items.first[i + 1]])
-        targets.append(hashes[lo:hi])
+        queries.append(query)
+        targets.append(target)
         lows.append(low)
     score, where = align(queries, targets)
     best: dict[int, tuple] = {}
@@ -169,7 +178,6 @@ def annotate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks, spark = max(1, -(-size // ITEM_BYTES)), docs.sparkSession
-    total = docs.count() if size else 0
     out, names = docs.withColumn(column, F.array().cast(HITS)), docs.columns
     for b in range(n_blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b).toArrow().combine_chunks()
@@ -178,24 +186,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
         items = Items(part["item_id"].to_pylist(), part["text"].combine_chunks())
         shared = spark.sparkContext.broadcast(items)
 
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            documents = np.zeros(len(shared.value.kinds), np.int64)
-            for batch in blocks(batches, "text"):
-                _, seed, text, _ = _seeds(Words(*text_bytes(batch.column("text")), between=MARKS))
-                found, kind = shared.value.matches(seed)
-                once = np.unique(np.stack([text[found], kind]), axis=1)[1] if len(found) else found
-                documents += np.bincount(once, minlength=len(documents))
-            some = np.flatnonzero(documents)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(documents[some], pa.int64())], ["kind", "n"])
-
-        documents = np.zeros(len(items.kinds), np.int64)
-        counted = docs.select("text").mapInArrow(count, "kind long, n long").groupBy("kind").agg(F.sum("n").alias("n"))
-        for kind, n in counted.collect():
-            documents[kind] = n
-        items.mark_rare(documents, total)
-        marked = spark.sparkContext.broadcast(items)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=marked) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in blocks(batches, "text"):
                 found = _hits(shared.value, batch.column("text"), threshold)
                 before = batch.column(column).to_pylist()

@@ -172,6 +172,22 @@ def test_decontamination_finds_whole_and_edited_copies(spark):
     assert decontaminate.contaminated(tables.docs(spark, []), spark.createDataFrame(bench, "item_id long, text string")).count() == 0
 
 
+def test_edited_copies_of_a_hot_item_are_found(spark):
+    """Copies that share one or two seeds, of an item that many documents hold."""
+    item = [f"w{k}" for k in range(16)]
+    two = [w if k not in (3, 7, 13) else "edited" for k, w in enumerate(item)]  # words 8 to 12 have two seeds
+    one = [w if k not in (3, 7, 12) else "edited" for k, w in enumerate(item)]  # 8 to 11, and 13 to 15 have none
+    last = [w if k in (0, 1, 2, 3) else "other" for k, w in enumerate(item)]  # a seed, but too little of the item
+    rest = [None] * 5
+    rows = [(i, f"before{i} {' '.join(item)} after{i}", *rest) for i in range(40)]
+    rows += [(100, "x y " + " ".join(two) + " z", *rest), (101, "x y " + " ".join(one) + " z", *rest), (102, " ".join(last), *rest)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r.score for r in decontaminate.contaminated(tables.docs(spark, rows), bench).collect()}
+    assert sorted(found) == [*range(40), 100, 101] and found[100] == found[101] == 23 / 32
+    alone = decontaminate.contaminated(tables.docs(spark, [rows[40]]), bench).collect()
+    assert [(r.doc_id, r.score) for r in alone] == [(100, 23 / 32)]
+
+
 def test_alignment_equals_plain_dynamic_programming():
     rng = random.Random(4)
     a = [[rng.randrange(6) for _ in range(rng.randrange(1, 12))] for _ in range(60)]
