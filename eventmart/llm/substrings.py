@@ -13,7 +13,12 @@ left is dropped at once. Sorting all positions of a corpus is not needed:
 2. For the rest, the bytes around the anchor travel to its bucket. There each
    string is refined: identifiers of q-grams are joined to identifiers of 2q
    bytes, those to identifiers of the string, each round reusing the last.
-3. Strings that an earlier document has are intervals of their document, which
+3. Buckets of anchors that very many documents have would be too large for one
+   task. A sample of the documents tells which anchors those are; it decides
+   where a bucket is handled, not what is found. Their rows are spread in step
+   1, and in step 2 each of their strings is a key of its own, with the least
+   document by an aggregate.
+4. Strings that an earlier document has are intervals of their document, which
    are merged and cut out of the text.
 
 Identifiers are 64-bit hashes.
@@ -35,6 +40,8 @@ from eventmart.llm.textbytes import blocks, mix, text_bytes
 LENGTH, Q = 50, 24
 #: Windows of a bucket task refined at once.
 WINDOWS = 1 << 19
+#: One document in SAMPLE is looked at for hot anchors: those that HOT sampled documents have. Their rows are dealt to SPREAD keys.
+SAMPLE, HOT, SPREAD = 64, 64, 4096
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -78,42 +85,64 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return place[first], ids[place[first]], text[first], start[first], start[last]
 
 
-def _repeated(docs: DataFrame) -> DataFrame:
-    """doc_id and anchor of all anchors that more than one document has."""
+def _distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The different anchors of each text, and their texts."""
+    _, ids, text, _, _ = anchors(*text_bytes(batch.column("text")))
+    order = np.lexsort((ids, text))
+    ids, text = ids[order], text[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (text[1:] != text[:-1])
+    return ids[new], text[new]
+
+
+def _hot(docs: DataFrame) -> np.ndarray:
+    """Anchors that many of the sampled documents have, in order. At most the sample's anchors by HOT."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            kinds, n = np.unique(_distinct(batch)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n)], ["anchor", "n"])
+
+    some = docs.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(SAMPLE)) == 0).select("text")
+    found = some.mapInArrow(find, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
+    return np.sort(found.select("anchor").toArrow()["anchor"].to_numpy())
+
+
+def _repeated(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """doc_id, anchor and salt of all anchors that more than one document has. Rows of ``hot`` anchors have a salt of 0 or more, others -1."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            _, ids, text, _, _ = anchors(*text_bytes(batch.column("text")))
-            order = np.lexsort((ids, text))
-            ids, text = ids[order], text[order]
-            new = np.ones(len(ids), bool)
-            new[1:] = (ids[1:] != ids[:-1]) | (text[1:] != text[:-1])
-            doc = batch.column("doc_id").to_numpy()[text[new]]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[new].view(np.int64)), pa.array(doc)], ["anchor", "doc_id"])
+            ids, text = _distinct(batch)
+            doc, anchor = batch.column("doc_id").to_numpy()[text], ids.view(np.int64)
+            salt = np.where(np.isin(anchor, shared.value), (mix(doc.view(np.uint64)) % np.uint64(SPREAD)).astype(np.int64), -1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(doc), pa.array(salt)], ["anchor", "doc_id", "salt"])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come by anchor and doc_id; ``last`` is the row before, and whether its bucket already has two documents
+        # rows come by anchor and doc_id; ``last`` is the row before, and whether its bucket already has two documents.
+        # A hot anchor's bucket is spread, and has them elsewhere
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            anchor, doc = (batch.column(i).to_numpy() for i in range(2))
+            anchor, doc, salt = (batch.column(i).to_numpy() for i in range(3))
             if last is not None:
-                anchor, doc = np.r_[last[0], anchor], np.r_[last[1], doc]
+                anchor, doc, salt = np.r_[last[0], anchor], np.r_[last[1], doc], np.r_[last[3], salt]
             start = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
             size = np.diff(np.append(start, len(anchor)))
             end = start + size - 1
-            several = doc[end] != doc[start]
+            several = (doc[end] != doc[start]) | (salt[start] >= 0)
             if last is not None:
                 several[0] |= last[2]
             out = np.repeat(several, size)
             if last is not None:
                 out[0] = several[0] and not last[2]  # else it was sent with its batch
-            yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(anchor[out])], ["doc_id", "anchor"])
-            last = (anchor[-1:], doc[-1:], bool(several[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(anchor[out]), pa.array(salt[out])], ["doc_id", "anchor", "salt"])
+            last = (anchor[-1:], doc[-1:], bool(several[-1]), salt[-1:])
 
-    found = docs.mapInArrow(find, "anchor long, doc_id long")
-    return found.repartition(F.col("anchor")).sortWithinPartitions("anchor", "doc_id").mapInArrow(keep, "doc_id long, anchor long")
+    found = docs.mapInArrow(find, "anchor long, doc_id long, salt int")
+    return found.repartition("anchor", "salt").sortWithinPartitions("anchor", "doc_id").mapInArrow(keep, "doc_id long, anchor long, salt int")
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -170,19 +199,52 @@ def _refine(batch: pa.RecordBatch, state: _Bucket) -> pa.RecordBatch:
     )
 
 
+def _asked(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """As ``anchors``, those in the batch's lists (``anchors``) only."""
+    place, ids, text, lo, hi = anchors(data, offsets)
+    asked = batch.column("anchors")
+    n = np.diff(asked.offsets.to_numpy())
+    pairs = np.stack([np.repeat(np.arange(len(n)), n).astype(np.uint64), asked.flatten().to_numpy().view(np.uint64)])
+    have = np.unique(mix(pairs[1]) + pairs[0] * _C2)
+    live = np.flatnonzero(np.isin(mix(ids) + text.astype(np.uint64) * _C2, have))
+    return place[live], ids[live], text[live], lo[live], hi[live]
+
+
+def _with_anchors(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    lists = wanted.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+    return docs.join(lists, "doc_id").select("doc_id", F.xxhash64("text").alias("version"), "text", "anchors")
+
+
+def _hot_intervals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """As ``_intervals``, with every string as a key of its own: no task gets a whole bucket."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text", 1 << 19):
+            data, offsets = text_bytes(batch.column("text"))
+            _, _, text, lo, hi = _asked(batch, data, offsets)
+            n = hi - lo + 1
+            at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+            text = np.repeat(text, n)
+            ids, later = gram_ids(data) if len(at) else np.zeros(0, np.uint64), at + LENGTH - 2 * Q
+            name = mix(mix(ids[at] * _C1 + ids[at + Q]) * _C1 + mix(ids[later] * _C1 + ids[later + Q]))
+            columns = [name.view(np.int64), batch.column("doc_id").to_numpy()[text], batch.column("version").to_numpy()[text], at - offsets[text]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["string", "doc_id", "version", "start"])
+
+    texts = _with_anchors(docs, wanted)
+    found = materialize(texts.mapInArrow(strings, "string long, doc_id long, version long, start long"), "substring-hot")
+    first = found.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")).where("least < greatest")
+    # a table of its own, so that the join may split the rows of a string
+    first = materialize(first.select("string", "least"), "substring-hot-first")
+    return found.join(first, "string").where("least < doc_id").select("doc_id", "version", "start", (F.col("start") + LENGTH).alias("end"))
+
+
 def _intervals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, version, start and end of strings that an earlier document has. ``wanted``: doc_id and its repeated anchors."""
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
-            place, ids, text, lo, hi = anchors(data, offsets)
-            asked = batch.column("anchors")
-            n = np.diff(asked.offsets.to_numpy())
-            pairs = np.stack([np.repeat(np.arange(len(n)), n).astype(np.uint64), asked.flatten().to_numpy().view(np.uint64)])
-            have = np.unique(mix(pairs[1]) + pairs[0] * _C2)
-            live = np.flatnonzero(np.isin(mix(ids) + text.astype(np.uint64) * _C2, have))
-            place, ids, text, lo, hi = place[live], ids[live], text[live], lo[live], hi[live]
+            place, ids, text, lo, hi = _asked(batch, data, offsets)
             size = hi - lo + LENGTH
             total = np.cumsum(size)
             at = np.arange(total[-1] if len(total) else 0) + np.repeat(lo - (total - size), size)
@@ -206,8 +268,7 @@ def _intervals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 start = end
 
     names = ["anchor", "doc_id", "version", "place", "before", "strings", "bytes"]
-    texts = docs.join(wanted, "doc_id").select("doc_id", F.xxhash64("text").alias("version"), "text", "anchors")
-    placed = texts.mapInArrow(
+    placed = _with_anchors(docs, wanted).mapInArrow(
         around, "anchor long, doc_id long, version long, place long, before int, strings int, bytes binary"
     )
     placed = placed.repartition(F.col("anchor")).sortWithinPartitions("anchor", "doc_id")
@@ -232,9 +293,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     copies = materialize(
         named.join(heads, "_md5").where(F.col("_head") < F.col("doc_id")).select("doc_id", "version").distinct(), "substring-copies"
     )
-    repeated = materialize(_repeated(known.where(long_enough)), "substring-anchors")
-    wanted = repeated.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-    found = materialize(_intervals(known.where(long_enough), wanted), "substring-intervals")
+    known = known.where(long_enough)
+    hot = _hot(known)
+    repeated = materialize(_repeated(known, hot), "substring-anchors")
+    wanted = repeated.join(copies, "doc_id", "left_anti")
+    found = materialize(_intervals(known, wanted.where("salt < 0")), "substring-intervals")
+    if len(hot):
+        found = found.unionByName(materialize(_hot_intervals(known, wanted.where("salt >= 0")), "substring-hot-intervals"))
     spans = found.unionByName(copies.withColumns({"start": F.lit(0).cast("long"), "end": F.lit(2**62).cast("long")}))
     spans = spans.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 

@@ -118,6 +118,24 @@ def test_repeated_strings_awkward_rows(spark):
     assert substrings.deduplicate(tables.docs(spark, [])).count() == 0
 
 
+def test_strings_of_hot_anchors_equal_brute_force(spark, monkeypatch):
+    """A short line in very many documents, with other text around it; no task may get all of its bucket."""
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
+    monkeypatch.setattr(substrings, "HOT", 8)
+    rng = random.Random(11)
+    line = "all rights reserved by the owners of it"
+    near = [tables.random_text(rng, 6) for _ in range(4)]
+    rest = [None] * 5
+    rows = tables.doc_rows() + [(200 + i, f"{rng.choice(near)} {line} {rng.choice(near)} {i}", *rest) for i in range(60)]
+    docs = tables.docs(spark, rows)
+    got = substrings.deduplicate(docs).collect()
+    assert {r[0]: (*r[1:5], bytes(r[5])) for r in got} == _cut(rows)
+    texts = docs.where("doc_id is not null and octet_length(text) >= 50").select("doc_id", "text")
+    hot = substrings._hot(texts)
+    largest = substrings._repeated(texts, hot).where("salt < 0").groupBy("anchor").count().agg({"count": "max"}).first()[0]
+    assert len(hot) > 0 and largest < 8
+
+
 def test_buckets_may_be_cut_anywhere():
     """A bucket's rows give the same intervals in one batch and one by one."""
     rng = random.Random(2)
