@@ -63,6 +63,7 @@ def text_blocks(page: str) -> list[tuple[str, int, float, bool, bool]]:
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, str | None]] = []
+    opened: dict[str, int] = {}
     kind: str | None = None
     links = at = 0
 
@@ -98,10 +99,12 @@ def text_blocks(page: str) -> list[tuple[str, int, float, bool, bool]]:
             if not ending:
                 told = _telling(tag, token[4])
                 stack.append((tag, kind))
+                opened[tag] = opened.get(tag, 0) + 1
                 kind = told if told and not (tag == "header" and kind == "m" and told == "b") else kind
-            elif any(open_tag == tag for open_tag, _ in stack[-64:]):
+            elif opened.get(tag):
                 while True:
                     open_tag, kind = stack.pop()
+                    opened[open_tag] -= 1
                     if open_tag == tag:
                         break
     take(page[at:])

@@ -212,6 +212,14 @@ def test_page_text():
     assert htmltext.main_text("<a" * 50_000 + '"' * 9, tree) is not None
 
 
+def test_many_unclosed_cells_end_with_their_table():
+    tree = htmltext.train_tree(*htmltext.labelled_table())
+    cells = "<td>x " * 200
+    article = "<div><p>The rain came late this year, and the fields along the river were dry until the second week of the month.</p></div>"
+    page = f"<nav><table><tr>{cells}</tr></table></nav>{article}"
+    assert "The rain came late" in htmltext.main_text(page, tree)
+
+
 def test_page_extraction_keeps_every_row(spark):
     rows = [(1, "u", "<article><p>Some text &eacute;</p></article>", 1), (1, "u", None, 2), (None, None, "", 3), (2, "v", "plain", 4)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
