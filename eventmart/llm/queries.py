@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, htmltext, jaccard, langid, lm, mixing, shards, substrings, topk, toxicity
+from eventmart.llm import bestposition, decontaminate, divergence, htmltext, jaccard, langid, lm, mixing, secretscan, shards, substrings, topk, toxicity
 from eventmart.llm.ship import ship
 from eventmart.session import shared_folder
 
@@ -106,6 +106,113 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.counts(_table(spark, sf_dir, "documents"))
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN_SQL = "(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]"""
+#: kind, expression, and expression a whole match must have to count
+_SECRETS_SQL = [
+    ("assign", _ASSIGN_SQL + "+", _ASSIGN_SQL + "{8,}"),
+    ("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{12,}"),
+    ("hex", "[0-9a-f]{32,}", ".*"),
+    ("private_key", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY-----", ".*"),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_[A-Za-z0-9]{16,}"),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    ("login", "(https?|ftp|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~%-]+:[A-Za-z0-9._~%-]+@", ".*"),
+]
+OP11_SQL = (
+    "with t as (select row_number() over () as rid, doc_id, coalesce(text, '') as x from documents), cut as ("
+    + " union all ".join(
+        f"select rid, {i} as k, '{kind}' as kind, '{only}' as fits, regexp_extract_all(x, '{pattern}') as m, string_split_regex(x, '{pattern}') as between from t"
+        for i, (kind, pattern, only) in enumerate(_SECRETS_SQL)
+    )
+    + """), numbered as (
+  select *, unnest(range(1, len(m) + 1)) as i from cut),
+placed as (
+  select rid, k, kind, fits, m[i] as hit,
+    cast(list_sum(list_transform(between[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda p: length(p))), 0) as bigint) as start
+  from numbered),
+kept as (
+  select rid, k, kind, start, kind || ':' || start || ':' || (start + length(hit)) as span from placed where regexp_full_match(hit, fits)),
+joined as (
+  select rid, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex,
+    string_agg(span, ',' order by start, k) filter (k < 3) as base, string_agg(span, ',' order by start, k) as spans
+  from kept group by rid)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join joined using (rid)
+"""
+)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP12_SQL = rf"""
+with d as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({_LOWER_SQL}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+occurrences as (select rid, lang, source, unnest(terms) as term from d),
+kept as (select lang, term from occurrences group by lang, term having count(distinct rid) >= 30),
+counted as (select lang, source, term, count(*) as n from occurrences join kept using (lang, term) group by all),
+groups as (select lang, source from d group by all),
+v as (select g.lang, count(k.term) as v from (select distinct lang from groups) g left join kept k on g.lang = k.lang group by all),
+whole as (
+  select lang, source, v, cast(coalesce(sum(n), 0) as bigint) + 5 * v as w
+  from groups join v using (lang) left join counted using (lang, source) group by lang, source, v),
+whole_lang as (select lang, cast(sum(n) as bigint) + 5 * v as w from counted join v using (lang) group by lang, v),
+shares as (
+  select lang, source, term, coalesce(n, 0) as n, 1 + cast((1000000000 * (coalesce(n, 0) + 5)::hugeint) // w as bigint) as p
+  from whole join kept using (lang) left join counted using (lang, source, term)),
+overall as (
+  select lang, term, 1 + cast((1000000000 * (n + 5)::hugeint) // w as bigint) as q
+  from (select lang, term, sum(n) as n from counted group by lang, term) join whole_lang using (lang)),
+apart as (
+  select a.lang, a.source, b.source as item, cast(sum(abs(a.p - b.p)) as bigint) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source),
+terms as (
+  select lang, source, 'term' as part, term as item, p - q as value from shares join overall using (lang, term) where n > 0 and p > q),
+ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+  from (select * from pairs union all select * from terms))
+select * from ranked where part = 'pair' or rank <= 50
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERM_SQL = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP13_SQL = rf"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({_LOWER_SQL}, '{_TERM_SQL}') as terms from documents),
+whole as (select count(*) filter (len(terms) > 0) as n_docs, cast(sum(len(terms)) as bigint) as n_terms from d),
+tf as (select rid, doc_id, n, term, count(*) as tf from (select rid, doc_id, len(terms) as n, unnest(terms) as term from d) group by all),
+asked as (select item_id, unnest(regexp_extract_all({_LOWER_SQL}, '{_TERM_SQL}')) as term from benchmark),
+wanted as (select item_id, term, count(*) as repeats from asked group by all),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from tf cross join whole where term in (select term from asked) group by term, n_docs),
+scored as (
+  select item_id, doc_id, rid, cast(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) as bigint) as score
+  from wanted join tf using (term) join weights using (term) cross join whole group by all),
+ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank, doc_id, score from scored where score > 0)
+select * from ranked where rank <= 20
+"""
+
+
 QUERIES = {
     "op1_decontamination": (op1_decontamination, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
@@ -117,4 +224,7 @@ QUERIES = {
     "op8_jaccard_join": (op8_jaccard_join, None),
     "op9_substring_dedup": (op9_substring_dedup, None),
     "op10_token_shards": (op10_token_shards, None),
+    "op11_secrets": (op11_secrets, OP11_SQL),
+    "op12_source_divergence": (op12_source_divergence, OP12_SQL),
+    "op13_ranked_search": (op13_ranked_search, OP13_SQL),
 }

@@ -102,6 +102,15 @@ class Words:
         """For each word, the index of its text."""
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts())
 
+    def strings(self) -> pa.LargeStringArray:
+        """The words themselves. Their bytes follow each other without gaps once those between them are left out."""
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[self.start] += 1
+        edge[self.end] -= 1
+        letters = self.data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+        ends = np.concatenate(([0], np.cumsum(self.end - self.start))).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(self.start), pa.py_buffer(ends), pa.py_buffer(letters))
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         n = len(self.data)
