@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from eventmart.catalogue.marts import ADDRESSES, NOW, SPIKE
 from eventmart.catalogue.marts import QUERIES as MART_QUERIES
 from eventmart.catalogue.tables import (
     EVENTS_SQL,
@@ -17,7 +18,7 @@ from eventmart.catalogue.tables import (
     with_sql,
 )
 from eventmart.operators.history import current_rows, scd2, scd2_apply
-from eventmart.operators.incremental import incremental_slice, of_keys
+from eventmart.operators.incremental import incremental_slice, of_keys, touched_days
 from eventmart.operators.merge import delete_where, erase_subjects, merge_upsert
 from eventmart.operators.ordering import rank_by_value, top_per_group
 from eventmart.plans import ads as ad_plans
@@ -41,7 +42,11 @@ def _refreshed(mart, spark, sf, *sources):
     old = mart.build(*[mart.prepare(_until_watermark(s) if "updated_at" in s.columns else s) for s in sources])
     changing = [s for s in sources if "updated_at" in s.columns]
     touched = runner.touched_keys(mart, changing, WATERMARK)
-    return runner.refresh_rows(mart, old, sources, touched)
+    if not mart.partial:
+        return runner.refresh_rows(mart, old, sources, touched)
+    days = touched_days(incremental_slice(sources[0], WATERMARK))
+    partials = runner.refresh_partials(mart, runner.day_partials(mart, _until_watermark(sources[0])), sources[0], days)
+    return runner.refresh_rows(mart, old, sources, touched, partials)
 
 
 def _ad_changes(spark, sf):
@@ -183,6 +188,12 @@ from counts join current_ads using (ad_id)""",
         lambda spark, sf: _refreshed(runner.ad_mart(), spark, sf, events(spark, sf), ads(spark, sf)),
         AD_SQL,
     ),
+    "anomaly_refresh": (
+        lambda spark, sf: _refreshed(
+            runner.anomaly_mart("day", spike_gt=SPIKE, ip_gt=ADDRESSES, now=F.lit(NOW).cast("timestamp")), spark, sf, events(spark, sf)
+        ),
+        MART_QUERIES["anomaly_flags"][1],
+    ),
     "semi_join_active_users": (
         lambda spark, sf: of_keys(
             events(spark, sf), incremental_slice(events(spark, sf), WATERMARK).select("user_id").distinct(), ["user_id"]

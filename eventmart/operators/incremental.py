@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.operators.joins import null_safe_join
+from eventmart.operators.joins import any_of, null_safe_join
 from eventmart.operators.merge import delete_where, merge_upsert
 
 WATERMARK_SCHEMA = "entity_name string, watermark_value timestamp"
@@ -35,6 +35,46 @@ def incremental_slice(
     return df.filter(F.col(ts_col) > F.lit(watermark) - F.expr(f"interval {late}"))
 
 
+def touched_days(rows: DataFrame, ts_col: str = "timestamp") -> list[dt.date | None]:
+    """The local days of ``rows``, in order; None for rows without a time. One value per calendar day at most."""
+    days = [r[0] for r in rows.select(F.to_date(ts_col)).distinct().collect()]
+    return sorted((d for d in days if d is not None)) + [None] * (None in days)
+
+
+def _ranges(days: Sequence[dt.date], most: int) -> list[tuple[dt.date, dt.date]]:
+    """Runs of days as half-open ranges; beyond ``most`` of them the nearest ones are joined."""
+    day, runs = dt.timedelta(days=1), []
+    for d in days:
+        if runs and runs[-1][1] == d:
+            runs[-1] = (runs[-1][0], d + day)
+        else:
+            runs.append((d, d + day))
+    while len(runs) > most:
+        gaps = [b[0] - a[1] for a, b in zip(runs, runs[1:])]
+        i = gaps.index(min(gaps))
+        runs[i : i + 2] = [(runs[i][0], runs[i + 1][1])]
+    return runs
+
+
+def in_days(df: DataFrame, days: Sequence[dt.date | None], ts_col: str = "timestamp", most_ranges: int = 64) -> DataFrame:
+    """Rows of the given local days (None: rows without a time).
+
+    Days that follow each other are one range of constants, which reaches the
+    Parquet scan; so a late record costs its own day, not all days since.
+    """
+    known = [d for d in days if d is not None]
+    spans = [(F.col(ts_col) >= F.lit(a).cast("timestamp")) & (F.col(ts_col) < F.lit(b).cast("timestamp")) for a, b in _ranges(known, most_ranges)]
+    if None in days:
+        spans.append(F.col(ts_col).isNull())
+    if not spans:
+        return df.filter(F.lit(False))
+    found = df.filter(any_of(spans))
+    if len(_ranges(known, len(known) or 1)) > most_ranges:  # the joined ranges hold other days, too
+        exact = F.to_date(ts_col).isin(known)
+        found = found.filter(exact | F.col(ts_col).isNull() if None in days else exact)
+    return found
+
+
 def affected_keys(slices: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Distinct keys over one or more slices."""
     first, *rest = [s.select(*keys) for s in slices]

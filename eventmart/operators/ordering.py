@@ -86,11 +86,10 @@ def drop_chunks(df: DataFrame) -> DataFrame:
     return df.drop("__key", "__chunk")
 
 
-def running_new_values(values: DataFrame, keys: Sequence[str], bucket: str, value: str) -> DataFrame:
-    """Per (keys, bucket): how many non-null values the key shows for the first time."""
+def new_values(values: DataFrame, keys: Sequence[str], bucket: str, value: str) -> DataFrame:
+    """Per (keys, bucket): how many values the key shows for the first time; a null counts as a value."""
     return (
-        values.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
+        values.groupBy(*keys, value)
         .agg(F.min(bucket).alias(bucket))
         .groupBy(*keys, bucket)
         .agg(F.count("*").alias("new_values"))
@@ -108,7 +107,7 @@ def running_distinct(df: DataFrame, keys: Sequence[str], bucket: str, value: str
     buckets = df.select(*keys, bucket, F.lit(0).cast("long").alias("new_values"))
     return (
         buckets.distinct()
-        .unionByName(running_new_values(df, keys, bucket, value))
+        .unionByName(new_values(df.filter(F.col(value).isNotNull()), keys, bucket, value))
         .repartition(*keys)
         .groupBy(*keys, bucket)
         .agg(F.sum("new_values").alias("new_values"))

@@ -7,9 +7,11 @@ All work is done on aggregates of (user, bucket); events are never joined back.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from eventmart.operators.joins import null_safe_join
 from eventmart.operators.ordering import (
@@ -17,7 +19,7 @@ from eventmart.operators.ordering import (
     chunk_hot_keys,
     hot_keys,
     neighbour,
-    running_new_values,
+    new_values,
     time_chunk,
 )
 
@@ -42,11 +44,11 @@ def _bucketed(events: DataFrame, bucket: str) -> DataFrame:
     return events.withColumn("bucket", F.date_trunc(bucket, local))
 
 
-def events_per_bucket(events: DataFrame, bucket: str = "minute") -> DataFrame:
-    """Distinct events and the first and last time per (user, bucket)."""
+def events_per_bucket(events: DataFrame, bucket: str = "minute", by: Sequence[str] = ()) -> DataFrame:
+    """Distinct events and the first and last time per (``by``, user, bucket)."""
     return (
         _bucketed(events, bucket)
-        .groupBy("user_id", "bucket")
+        .groupBy(*by, "user_id", "bucket")
         .agg(
             F.count_distinct("event_id").alias("number_of_events"),
             F.min("timestamp").alias("first_ts"),
@@ -55,14 +57,12 @@ def events_per_bucket(events: DataFrame, bucket: str = "minute") -> DataFrame:
     )
 
 
-def addresses_per_bucket(events: DataFrame, bucket: str = "minute") -> DataFrame:
-    """Distinct non-null addresses per (user, bucket), one row each."""
-    return (
-        _bucketed(events, bucket)
-        .filter(F.col("ip_address").isNotNull())
-        .select("user_id", "bucket", "ip_address")
-        .distinct()
-    )
+def _changed(previous: Column, country: Column, timestamp: Column, country_gap: str | None) -> Column:
+    """Whether a step's country differs from that of the step before it, by less than ``country_gap``."""
+    change = previous["country"] != country
+    if country_gap is not None:
+        change = change & (timestamp < previous["timestamp"] + F.expr(f"interval {country_gap}"))
+    return F.coalesce(change, F.lit(False))
 
 
 def country_steps(events: DataFrame, country_gap: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -81,9 +81,6 @@ def country_steps(events: DataFrame, country_gap: str | None = None, hot_rows: i
         chunked, ["timestamp", "country"], F.struct("country", "timestamp"), "previous"
     )
     previous = F.col("previous")
-    change = (previous["country"] != F.col("country"))
-    if country_gap is not None:
-        change = change & (F.col("timestamp") < previous["timestamp"] + F.expr(f"interval {country_gap}"))
     return found.select(
         "user_id",
         "timestamp",
@@ -91,45 +88,154 @@ def country_steps(events: DataFrame, country_gap: str | None = None, hot_rows: i
         "n_events",
         previous["country"].alias("prev_country"),
         previous["timestamp"].alias("prev_timestamp"),
-        F.coalesce(change, F.lit(False)).alias("suspicious"),
+        _changed(previous, F.col("country"), F.col("timestamp"), country_gap).alias("suspicious"),
     )
 
 
-def bucket_signals(
-    events: DataFrame, bucket: str = "minute", country_gap: str | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """One row per (user, bucket) with everything the flags depend on.
+def _seen(events: DataFrame, bucket: str, by: Sequence[str]) -> DataFrame:
+    """Events counted by time, country and address, dealt over tasks by (user, minute).
 
-    The three aggregates are stacked and shuffled once by user; that shuffle
-    serves both the merge per bucket and the running sum of new addresses. A
-    user has at most three rows per bucket there, however many events it has.
+    All further work inside a minute needs no other shuffle, and the readers of
+    this plan share one scan of the events: ``signed`` is the count, negative
+    without an address, so that asking for addresses is a filter above the
+    shuffle and both readers have the same plan below it.
     """
-    counts = events_per_bucket(events, bucket)
-    changes = (
-        _bucketed(country_steps(events, country_gap, hot_rows), bucket)
-        .groupBy("user_id", "bucket")
-        .agg(
-            F.count_if("suspicious").alias("suspicious_events"),
-            (F.sum("n_events") - F.count_if("suspicious")).alias("other_events"),
-            F.min(F.when(F.col("suspicious"), F.col("timestamp"))).alias("first_suspicious"),
-            F.max(F.when(F.col("suspicious"), F.col("timestamp"))).alias("last_suspicious"),
-        )
+    minute = F.date_trunc("minute", F.col("timestamp").cast("timestamp_ntz").cast("timestamp"))
+    return (
+        _bucketed(events, bucket)
+        .withColumn("minute", minute)
+        .select(*by, "user_id", "bucket", "minute", "timestamp", "country", "ip_address")
+        .repartition("user_id", "minute")
+        .groupBy(*by, "user_id", "bucket", "minute", "timestamp", "country", "ip_address")
+        .agg(F.sum(F.when(F.col("ip_address").isNull(), -1).otherwise(1)).alias("signed"))
     )
-    addresses = addresses_per_bucket(events, bucket)
-    fresh = running_new_values(addresses, ["user_id"], "bucket", "ip_address")
 
-    parts = counts.unionByName(changes, allowMissingColumns=True).unionByName(fresh, allowMissingColumns=True)
-    values = [c for c in parts.columns if c not in ("user_id", "bucket")]
-    so_far = Window.partitionBy("user_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+
+def _carried(parts: DataFrame, along: WindowSpec, country_gap: str | None) -> DataFrame:
+    """Edge summaries in which the first step is compared with the last step of the summary before it."""
+    before, first = F.lag("last_edge").over(along), F.col("first_edge")
+    changed = _changed(F.col("__before"), first["country"], first["timestamp"], country_gap)
+    at = F.when(F.col("__changed"), first["timestamp"])
     return (
+        parts.withColumn("__before", before)
+        .withColumn("__changed", changed)
+        .withColumns(
+            {
+                "changes": F.col("changes") + F.col("__changed").cast("long"),
+                "first_change": F.least("first_change", at),
+                "last_change": F.greatest("last_change", at),
+            }
+        )
+        .drop("__before", "__changed")
+    )
+
+
+def _folded(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One edge summary per key out of the carried ones of its parts."""
+    return parts.groupBy(*keys).agg(
+        F.min("first_edge").alias("first_edge"),
+        F.max("last_edge").alias("last_edge"),
+        F.sum("n_events").alias("n_events"),
+        F.sum("changes").alias("changes"),
+        F.min("first_change").alias("first_change"),
+        F.max("last_change").alias("last_change"),
+    )
+
+
+def edge_summaries(
+    events: DataFrame, bucket: str = "minute", country_gap: str | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Per (``by``, user, bucket): its first and last step, its events, and the changes of country inside it.
+
+    Steps are times and countries in that order. The summaries are associative:
+    those of neighbouring stretches of time make the one of both, with one
+    comparison of the last step of the first and the first step of the second.
+    So only a minute's steps are ever sorted, and coarser buckets are made of
+    minutes.
+    """
+    keys = [*by, "user_id", "bucket"]
+    steps = _seen(events, bucket, by).groupBy(*keys, "minute", "timestamp", "country").agg(F.sum(F.abs("signed")).alias("n_events"))
+    edge = F.struct("timestamp", "country")
+    inside = Window.partitionBy("user_id", "minute").orderBy("timestamp", "country")
+    found = _changed(F.col("__before"), F.col("country"), F.col("timestamp"), country_gap)
+    at = F.when(F.col("__changed"), F.col("timestamp"))
+    single = (
+        steps.withColumn("__before", F.lag(edge).over(inside))
+        .withColumn("__changed", found)
+        .withColumns(
+            {
+                "first_edge": edge, "last_edge": edge, "changes": F.col("__changed").cast("long"),
+                "first_change": at, "last_change": at,
+            }
+        )
+    )
+    if bucket == "minute":
+        return _folded(single, keys)
+    minutes = _folded(single, [*keys, "minute"])
+    return _folded(_carried(minutes, Window.partitionBy(*keys).orderBy("minute"), country_gap), keys)
+
+
+def anomaly_partials(
+    events: DataFrame, *by: str, bucket: str = "minute", country_gap: str | None = None
+) -> DataFrame:
+    """Mergeable rows per (``by``, user, bucket): event counts, edge summaries, and one row per address."""
+    keys = [*by, "user_id", "bucket"]
+    counts = events_per_bucket(events, bucket, by)
+    edges = edge_summaries(events, bucket, country_gap, by)
+    addresses = _seen(events, bucket, by).filter(F.col("signed") > 0).select(*keys, "ip_address").distinct()
+    parts = [counts, edges, addresses]
+    named = [p.withColumn("is_address", F.lit(p is addresses)) for p in parts]
+    return named[0].unionByName(named[1], allowMissingColumns=True).unionByName(named[2], allowMissingColumns=True)
+
+
+def _addresses(partials: DataFrame) -> DataFrame:
+    return partials.filter("is_address").select("user_id", "bucket", "ip_address")
+
+
+def fold_signals(partials: DataFrame, country_gap: str | None = None) -> DataFrame:
+    """One row per (user, bucket) with everything the flags depend on, from :func:`anomaly_partials` of any days.
+
+    The parts are stacked and shuffled once by user; that shuffle serves the
+    merge per bucket, the comparison of neighbouring buckets and the running sum
+    of new addresses. A user has at most three rows per bucket there, however
+    many events it has.
+    """
+    fresh = new_values(_addresses(partials), ["user_id"], "bucket", "ip_address")
+    summaries = partials.filter(~F.col("is_address")).drop("ip_address", "is_address")
+    parts = summaries.unionByName(fresh, allowMissingColumns=True)
+    values = [
+        "number_of_events", "first_ts", "last_ts", "first_edge", "last_edge", "n_events", "changes", "first_change",
+        "last_change", "new_values",
+    ]
+    along = Window.partitionBy("user_id").orderBy("bucket")
+    merged = (
         parts.repartition("user_id")
         .groupBy("user_id", "bucket")
         .agg(*[F.max(c).alias(c) for c in values])
-        .withColumn("running_addresses", F.coalesce(F.sum("new_values").over(so_far), F.lit(0)))
-        .drop("new_values")
+        .withColumn(
+            "running_addresses",
+            F.coalesce(F.sum("new_values").over(along.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)),
+        )
+    )
+    return _carried(merged, along, country_gap).select(
+        "user_id",
+        "bucket",
+        "number_of_events",
+        "first_ts",
+        "last_ts",
+        F.col("changes").alias("suspicious_events"),
+        (F.col("n_events") - F.col("changes")).alias("other_events"),
+        F.col("first_change").alias("first_suspicious"),
+        F.col("last_change").alias("last_suspicious"),
+        "running_addresses",
     )
 
 
+def bucket_signals(events: DataFrame, bucket: str = "minute", country_gap: str | None = None) -> DataFrame:
+    """The signals of the flags per (user, bucket)."""
+    return fold_signals(anomaly_partials(events, bucket=bucket, country_gap=country_gap), country_gap)
+
+
 def _case_columns(spike: Column, suspicious: Column, bot: Column) -> dict[str, Column]:
     """Code, type, reason and severity of a combination of signs."""
     signs = {"spike": spike, "suspicious": suspicious, "bot": bot}
@@ -148,16 +254,7 @@ def _case_columns(spike: Column, suspicious: Column, bot: Column) -> dict[str, C
     }
 
 
-def anomaly_cases(
-    events: DataFrame,
-    bucket: str = "minute",
-    spike_gt: int = 40,
-    ip_gt: int = 3,
-    country_gap: str | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Flagged (user, bucket) pairs: up to two cases each, with and without a change of country."""
-    signals = bucket_signals(events, bucket, country_gap, hot_rows)
+def _cases(signals: DataFrame, spike_gt: int, ip_gt: int) -> DataFrame:
     spike = F.col("number_of_events") > spike_gt
     bot = F.col("running_addresses") > ip_gt
     whole = spike | bot
@@ -179,23 +276,25 @@ def anomaly_cases(
     )
 
 
-def anomaly_flags(
-    events: DataFrame,
+def anomaly_cases(
+    events: DataFrame, bucket: str = "minute", spike_gt: int = 40, ip_gt: int = 3, country_gap: str | None = None
+) -> DataFrame:
+    """Flagged (user, bucket) pairs: up to two cases each, with and without a change of country."""
+    return _cases(bucket_signals(events, bucket, country_gap), spike_gt, ip_gt)
+
+
+def fold_flags(
+    partials: DataFrame,
     bucket: str = "minute",
     spike_gt: int = 40,
     ip_gt: int = 3,
     country_gap: str | None = None,
     explode_outer: bool = False,
     now: Column | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """One row per flagged case and address seen in its bucket.
-
-    Cases whose bucket has no address are left out unless ``explode_outer``.
-    """
-    cases = anomaly_cases(events, bucket, spike_gt, ip_gt, country_gap, hot_rows)
-    addresses = addresses_per_bucket(events, bucket)
-    joined = null_safe_join(cases, addresses, ["user_id", "bucket"], "left" if explode_outer else "inner")
+    """The mart from :func:`anomaly_partials` of any days, made with the same bucket and gap."""
+    cases = _cases(fold_signals(partials, country_gap), spike_gt, ip_gt)
+    joined = null_safe_join(cases, _addresses(partials), ["user_id", "bucket"], "left" if explode_outer else "inner")
     return joined.select(
         "ip_address",
         "user_id",
@@ -209,3 +308,20 @@ def anomaly_flags(
         "severity",
         F.date_format(F.current_timestamp() if now is None else now, SECOND_FORMAT).alias("detection_timestamp"),
     )
+
+
+def anomaly_flags(
+    events: DataFrame,
+    bucket: str = "minute",
+    spike_gt: int = 40,
+    ip_gt: int = 3,
+    country_gap: str | None = None,
+    explode_outer: bool = False,
+    now: Column | None = None,
+) -> DataFrame:
+    """One row per flagged case and address seen in its bucket.
+
+    Cases whose bucket has no address are left out unless ``explode_outer``.
+    """
+    partials = anomaly_partials(events, bucket=bucket, country_gap=country_gap)
+    return fold_flags(partials, bucket, spike_gt, ip_gt, country_gap, explode_outer, now)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -13,12 +14,14 @@ from eventmart.operators.incremental import (
     LATE,
     WATERMARK_SCHEMA,
     affected_keys,
+    in_days,
     incremental_slice,
     of_keys,
+    touched_days,
     watermark_value,
 )
 from eventmart.operators.joins import broadcast_if_small, null_safe_join
-from eventmart.operators.merge import erase_subjects, replace_keys
+from eventmart.operators.merge import delete_where, erase_subjects, replace_keys
 from eventmart.plans import ads as ad_plans
 from eventmart.plans import anomalies, content, hourly, sessions
 from eventmart.session import ensure_checkpoint_dir
@@ -35,6 +38,11 @@ from eventmart.sources.catalog import (
 )
 
 
+# Day column of stored partial rows, and suffix of their table.
+DAY = "event_day"
+PARTIALS = "__partials"
+
+
 @dataclass(frozen=True)
 class Mart:
     """How a mart is built, and which of its rows a slice of the sources touches."""
@@ -46,8 +54,12 @@ class Mart:
     prepare: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
     # Turns touched slice keys into key columns of the mart when these differ.
     label: Callable[[DataFrame], DataFrame] = field(default=lambda touched: touched)
-    # Leaves out source rows older than all touched keys, so that files are skipped.
+    # Leaves out source rows of other days than the touched keys', so that files are skipped.
     prune: Callable[[DataFrame, DataFrame], DataFrame] = field(default=lambda source, touched: source)
+    # Mergeable rows of the first source, per the given columns and the partials' own keys ...
+    partial: Callable[..., DataFrame] | None = None
+    # ... and the mart made of them and the other sources; with both, a refresh reads the slice's days only.
+    fold: Callable[..., DataFrame] | None = None
     # Partition column of the stored mart; by default a hash bucket of the slice keys.
     partition: str = BUCKET
     # Column that says when a row was found: equal rows keep the value they had.
@@ -66,11 +78,8 @@ def _hour_texts(touched: DataFrame) -> DataFrame:
     )
 
 
-def _since_oldest_day(events: DataFrame, touched: DataFrame) -> DataFrame:
-    oldest = touched.agg(F.min("__day")).take(1)[0][0]
-    if oldest is None:
-        return events
-    return events.filter((F.col("timestamp") >= F.lit(oldest)) | F.col("timestamp").isNull())
+def _on_touched_days(events: DataFrame, touched: DataFrame) -> DataFrame:
+    return in_days(events, touched_days(touched, "__day"))
 
 
 def hourly_mart() -> Mart:
@@ -79,18 +88,24 @@ def hourly_mart() -> Mart:
         ["__day", "__hour"],
         prepare=_with_hour,
         label=_hour_texts,
-        prune=_since_oldest_day,
+        prune=_on_touched_days,
         partition="date",
     )
 
 
 def session_mart() -> Mart:
-    return Mart(sessions.user_session_summary, ["user_id"])
+    return Mart(sessions.user_session_summary, ["user_id"], partial=sessions.session_partials, fold=sessions.fold_sessions)
 
 
 def content_mart() -> Mart:
     # Ranks of untouched content move too, so the whole mart is ranked again.
-    return Mart(content.content_engagement, content.KEYS, finish=content.rank_content)
+    return Mart(
+        content.content_engagement,
+        content.KEYS,
+        finish=content.rank_content,
+        partial=content.content_partials,
+        fold=content.fold_content,
+    )
 
 
 def _current(source: DataFrame) -> DataFrame:
@@ -99,12 +114,19 @@ def _current(source: DataFrame) -> DataFrame:
 
 def ad_mart() -> Mart:
     # Of a type-2 history of ads the open versions count: one row per ad.
-    return Mart(ad_plans.ad_performance, ["ad_id"], prepare=_current)
+    return Mart(ad_plans.ad_performance, ["ad_id"], prepare=_current, partial=ad_plans.ad_partials, fold=ad_plans.fold_ads)
 
 
-def anomaly_mart(**options) -> Mart:
-    # Running addresses and changes of country depend on a user's whole history.
-    return Mart(lambda events: anomalies.anomaly_flags(events, **options), ["user_id"], stamp="detection_timestamp")
+def anomaly_mart(bucket: str = "minute", country_gap: str | None = None, **options) -> Mart:
+    # Running addresses and changes of country depend on a user's whole history, of which the partials are enough.
+    grain = {"bucket": bucket, "country_gap": country_gap}
+    return Mart(
+        lambda events: anomalies.anomaly_flags(events, **grain, **options),
+        ["user_id"],
+        stamp="detection_timestamp",
+        partial=lambda events, *by: anomalies.anomaly_partials(events, *by, **grain),
+        fold=lambda partials: anomalies.fold_flags(partials, **grain, **options),
+    )
 
 
 def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str = LATE) -> DataFrame:
@@ -114,14 +136,34 @@ def touched_keys(mart: Mart, sources: Sequence[DataFrame], watermark, late: str
     return affected_keys(slices, mart.slice_keys)
 
 
-def refresh_rows(mart: Mart, target: DataFrame, sources: Sequence[DataFrame], touched: DataFrame) -> DataFrame:
+def day_partials(mart: Mart, events: DataFrame) -> DataFrame:
+    """The mart's partial rows per local day of the events."""
+    return mart.partial(mart.prepare(events).withColumn(DAY, F.to_date("timestamp")), DAY)
+
+
+def refresh_partials(mart: Mart, partials: DataFrame, events: DataFrame, days: Sequence[dt.date | None]) -> DataFrame:
+    """The partial rows with those of the given days made again from the events of these days."""
+    known = [d for d in days if d is not None]
+    of_days = F.col(DAY).isin(known) if known else F.lit(False)
+    if None in days:
+        of_days = of_days | F.col(DAY).isNull()
+    kept = delete_where(partials, of_days)
+    return kept.unionByName(day_partials(mart, in_days(events, days)).select(*partials.columns))
+
+
+def refresh_rows(
+    mart: Mart, target: DataFrame, sources: Sequence[DataFrame], touched: DataFrame, partials: DataFrame | None = None
+) -> DataFrame:
     """The mart with the rows of the touched keys built again from their whole history.
 
-    Totals do not shrink to the slice, and a repeated run changes nothing.
-    ``mart.finish`` is still to be run.
+    With the mart's ``partials``, already brought up to date, their history is
+    read from these and the first source is not. Totals do not shrink to the
+    slice, and a repeated run changes nothing. ``mart.finish`` is still to be
+    run.
     """
-    history = [of_keys(mart.prepare(s), touched, mart.slice_keys) for s in sources]
-    labels, built = mart.label(touched), mart.build(*history)
+    first = [mart.prepare(sources[0])] if partials is None else [partials]
+    history = [of_keys(s, touched, mart.slice_keys) for s in [*first, *(mart.prepare(s) for s in sources[1:])]]
+    labels, built = mart.label(touched), (mart.build if partials is None else mart.fold)(*history)
     if mart.stamp:
         grain = [c for c in built.columns if c != mart.stamp]
         known = target.groupBy(*grain).agg(F.min(mart.stamp).alias("__stamp"))
@@ -139,29 +181,60 @@ def read_mart(spark: SparkSession, table: str) -> DataFrame:
     return read_table(spark, table).drop(BUCKET)
 
 
+def _in_few_files(df: DataFrame, partition: str) -> DataFrame:
+    """Rows of a partition meet in tasks of about the advised size, so that it is a few files, however large it is."""
+    return df.hint("rebalance", partition)
+
+
+def partials_table(table: str) -> str:
+    """Name of the table that holds a mart's partial rows, partitioned by day."""
+    return f"{table}{PARTIALS}"
+
+
 def _first_build(mart: Mart, sources: Sequence[DataFrame], table: str, buckets: int) -> None:
-    rows = mart.build(*[mart.prepare(s) for s in sources])
+    spark = sources[0].sparkSession
+    if mart.partial:
+        stored = partials_table(table)
+        replace_table(_in_few_files(day_partials(mart, sources[0]), DAY), stored, [DAY])
+        rows = mart.fold(read_table(spark, stored), *[mart.prepare(s) for s in sources[1:]])
+    else:
+        rows = mart.build(*[mart.prepare(s) for s in sources])
     if mart.finish:
         replace_table(rows, table)
     else:
-        placed = _placed(rows, mart, buckets)
-        # Rows of a partition meet in a few tasks, so that it is a few files.
-        replace_table(placed.repartition(mart.partition, F.pmod(F.xxhash64(*rows.columns), F.lit(4))), table, [mart.partition])
+        replace_table(_in_few_files(_placed(rows, mart, buckets), mart.partition), table, [mart.partition])
 
 
-def _refresh(mart: Mart, sources: Sequence[DataFrame], table: str, touched: DataFrame, buckets: int) -> None:
+def _refresh_partials(mart: Mart, events: DataFrame, table: str, days: Sequence[dt.date | None]) -> DataFrame:
+    """Makes the stored partial rows of the given days again; running it twice changes nothing."""
+    spark, stored = events.sparkSession, partials_table(table)
+    if days:
+        used = spark.createDataFrame([(d,) for d in days], f"{DAY} date")
+        rewrite_partitions(_in_few_files(day_partials(mart, in_days(events, days)), DAY), stored, used)
+    return read_table(spark, stored)
+
+
+def _refresh(
+    mart: Mart,
+    sources: Sequence[DataFrame],
+    table: str,
+    touched: DataFrame,
+    buckets: int,
+    days: Sequence[dt.date | None] = (),
+) -> None:
     spark = touched.sparkSession
+    partials = _refresh_partials(mart, sources[0], table, days) if mart.partial else None
     history = [mart.prune(s, touched) for s in sources]
     if mart.finish:
         old = read_table(spark, table)
-        merged = refresh_rows(mart, old, history, touched).checkpoint()
+        merged = refresh_rows(mart, old, history, touched, partials).checkpoint()
         replace_table(mart.finish(merged).select(*old.columns), table)
         return
     # At most one row per bucket or day: small, and Spark prunes the stored mart by it.
     used = _placed(mart.label(touched), mart, buckets).select(mart.partition).distinct()
     old = null_safe_join(read_table(spark, table), F.broadcast(used), [mart.partition], "left_semi")
-    merged = refresh_rows(mart, old.drop(BUCKET), history, touched)
-    rewrite_partitions(_placed(merged, mart, buckets), table, used)
+    merged = refresh_rows(mart, old.drop(BUCKET), history, touched, partials)
+    rewrite_partitions(_in_few_files(_placed(merged, mart, buckets), mart.partition), table, used)
 
 
 def run_mart(
@@ -177,8 +250,10 @@ def run_mart(
 ) -> None:
     """Brings a mart table up to date and moves its watermarks.
 
-    Only partitions with a touched key are read and rewritten. ``refresh="full"``
-    drops the mart and its watermarks first. Every source has its own, so one
+    Only partitions with a touched key are read and rewritten. A mart with
+    partials has them in a table beside it: of the first source the slice is
+    read, and the days with rows in it, and no more. ``refresh="full"`` drops
+    the mart, its partials and its watermarks first. Every source has its own, so one
     that lags the others loses nothing: the first goes by the mart's name, the
     others by name and table. A new watermark is the greatest ``updated_at`` of
     the source's slice, read before the rows are, so later arrivals fall into
@@ -191,6 +266,7 @@ def run_mart(
         finish_swap(spark, table)
     if refresh == "full":
         drop_table(spark, target_table)
+        drop_table(spark, partials_table(target_table))
         if table_exists(spark, watermark_table):
             delete_rows(spark, watermark_table, F.col("entity_name").isin(entities))
     known = table_exists(spark, watermark_table)
@@ -201,7 +277,8 @@ def run_mart(
     reached = [max((t for t in pair if t is not None), default=None) for pair in zip(newest, marks)]
 
     bucketed = mart.partition == BUCKET and not mart.finish
-    if all(m is None for m in marks) or not table_exists(spark, target_table):
+    complete = table_exists(spark, target_table) and (not mart.partial or table_exists(spark, partials_table(target_table)))
+    if all(m is None for m in marks) or not complete:
         _first_build(mart, sources, target_table, buckets)
         if bucketed:
             keep_buckets(spark, target_table, buckets)
@@ -212,7 +289,8 @@ def run_mart(
         ensure_checkpoint_dir(spark)
         touched = touched_keys(mart, sources, marks, late).checkpoint()
         if touched.take(1):
-            _refresh(mart, sources, target_table, broadcast_if_small(touched), buckets)
+            days = touched_days(incremental_slice(sources[0], marks[0], late=late)) if mart.partial else []
+            _refresh(mart, sources, target_table, broadcast_if_small(touched), buckets, days)
     moved = [(e, r) for e, r, m in zip(entities, reached, marks) if r != m]
     if moved:
         upsert_table(spark.createDataFrame(moved, WATERMARK_SCHEMA), watermark_table, ["entity_name"])

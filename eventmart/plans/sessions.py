@@ -23,16 +23,29 @@ def most_used_platform(events: DataFrame) -> DataFrame:
     )
 
 
-def user_session_summary(events: DataFrame) -> DataFrame:
-    """Sessions, mean session length, favourite platform, last event and event count per user.
+def session_partials(events: DataFrame, *by: str) -> DataFrame:
+    """Mergeable rows per (``by``, user, session, platform): events in a named session, first and last time."""
+    return (
+        events.filter(F.col("user_id").isNotNull())
+        .groupBy(*by, "user_id", "session_id", "platform")
+        .agg(
+            F.count("session_id").alias("n"),
+            F.min("timestamp").alias("first_ts"),
+            F.max("timestamp").alias("last_ts"),
+        )
+    )
 
-    One scan feeds both groupings, (user, session) and (user, platform). Their
-    rows are then folded per user after a second partial aggregation, so a hot
-    user reaches the final task as one row per upstream task.
+
+def fold_sessions(partials: DataFrame) -> DataFrame:
+    """The summary per user from :func:`session_partials` of any days; a session may go over several.
+
+    Both groupings, (user, session) and (user, platform), are made of the
+    partial rows. Their rows are folded per user after a second partial
+    aggregation, so a hot user reaches the final task as one row per upstream
+    task.
     """
     grain = (
-        events.filter(F.col("user_id").isNotNull())
-        .groupingSets(
+        partials.groupingSets(
             [[F.col("user_id"), F.col("session_id")], [F.col("user_id"), F.col("platform")]],
             "user_id",
             "session_id",
@@ -40,9 +53,9 @@ def user_session_summary(events: DataFrame) -> DataFrame:
         )
         .agg(
             F.grouping("platform").alias("by_session"),
-            F.count("session_id").alias("n"),
-            F.min("timestamp").alias("first_ts"),
-            F.max("timestamp").alias("last_ts"),
+            F.sum("n").alias("n"),
+            F.min("first_ts").alias("first_ts"),
+            F.max("last_ts").alias("last_ts"),
         )
     )
     session = F.col("by_session") == 1
@@ -64,3 +77,8 @@ def user_session_summary(events: DataFrame) -> DataFrame:
         "last_seen_timestamp_in_IST",
         "total_events_per_user",
     )
+
+
+def user_session_summary(events: DataFrame) -> DataFrame:
+    """Sessions, mean session length, favourite platform, last event and event count per user, in one scan."""
+    return fold_sessions(session_partials(events))

@@ -10,8 +10,10 @@ from eventmart.catalogue.tables import ads, events
 from eventmart.operators.incremental import (
     advance_watermark,
     empty_watermarks,
+    in_days,
     incremental_slice,
     reset_watermark,
+    touched_days,
     watermark_value,
 )
 from eventmart.plans import runner
@@ -108,6 +110,45 @@ def test_a_case_taken_back_leaves_the_table(spark):
     assert flagged() == [("v", "2024-01-01 02:00")]
 
 
+def test_days_become_few_ranges(spark):
+    df = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i)) for i in range(60)] + [(99, None)], "id int, timestamp timestamp"
+    )
+    days = touched_days(df)
+    assert days[0] == dt.date(2024, 1, 1) and days[-1] is None and len(days) == 19
+    for chosen in ([], days, days[2:4] + days[9:10], days[::2], [None]):
+        expected = rows(df.filter(F.coalesce(F.to_date("timestamp").isin([d for d in chosen if d]), F.lit(False)) | (F.col("timestamp").isNull() & F.lit(None in chosen))))
+        for most in (1, 2, 64):
+            assert rows(in_days(df, chosen, most_ranges=most)) == expected
+
+
+def test_refresh_reads_the_days_of_the_slice_only(spark):
+    """Every scan of silver carries the day's bounds or the slice's; one late record adds its own day."""
+    tag = uuid.uuid4().hex[:8]
+    silver, target, marks = f"silver_{tag}", f"mart_{tag}", f"marks_{tag}"
+    every = events(spark, SMALL)
+    old = every.filter(F.col("timestamp") < F.lit(CUTS[1]))
+    old.withColumn("day", F.to_date("timestamp")).repartition("day").write.partitionBy("day").saveAsTable(silver)
+    runner.run_mart(spark, "s", runner.session_mart(), [silver], target, marks, buckets=4)
+
+    def files(table, column):
+        return {r[0]: r[1] for r in read_table(spark, table).select("_metadata.file_path", column).distinct().collect()}
+
+    before = files(runner.partials_table(target), runner.DAY)
+    late = old.orderBy("timestamp").limit(1).withColumn("event_id", F.lit(-1).cast("long")).withColumn("updated_at", F.lit(CUTS[2]))
+    late.withColumn("day", F.to_date("timestamp")).write.insertInto(silver)
+    day = late.select(F.to_date("timestamp")).first()[0]
+    mart, table = runner.session_mart(), read_table(spark, silver)
+    fresh = runner.refresh_partials(mart, read_table(spark, runner.partials_table(target)), table, [day])
+    scans = [x for x in fresh._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and silver in x]
+    assert scans and all("GreaterThanOrEqual(timestamp" in x and "LessThan(timestamp" in x for x in scans)
+    runner.run_mart(spark, "s", mart, [silver], target, marks, buckets=4)
+    after = files(runner.partials_table(target), runner.DAY)
+    changed = {before[f] for f in before.keys() - after.keys()}
+    assert day in changed and changed <= {day, dt.date(2024, 1, 19), dt.date(2024, 1, 20)}
+    assert rows(runner.read_mart(spark, target)) == rows(mart.build(read_table(spark, silver)).select(*runner.read_mart(spark, target).columns))
+
+
 def test_hourly_refresh_leaves_other_days_alone(spark):
     tag = uuid.uuid4().hex[:8]
     silver, target, marks = f"silver_{tag}", f"hourly_{tag}", f"marks_{tag}"

@@ -9,7 +9,7 @@ from eventmart.catalogue.tables import events
 from eventmart.operators.history import scd2
 from eventmart.operators.joins import broadcast_if_small
 from eventmart.operators.ordering import HOT_ROWS, top_per_group
-from eventmart.plans.anomalies import country_steps
+from eventmart.plans.anomalies import anomaly_flags, country_steps
 from eventmart.plans.content import content_engagement
 from eventmart.plans.hourly import hourly_active_users
 from eventmart.plans.sessions import user_session_summary
@@ -40,7 +40,16 @@ def test_content_scans_events_once(spark, static_plans):
 def test_sessions_are_one_scan_without_join(spark, static_plans):
     text = plan(user_session_summary(events(spark, SMALL)))
     assert text.count("FileScan") == 1 and "Join" not in text
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 3
+    # rows are multiplied for the two groupings only once they are counted
+    assert text.index("Expand") < text.index("Exchange hashpartitioning(user_id#", text.index("Expand"))
+    assert "FileScan" not in text[text.index("Expand") :].split("Exchange hashpartitioning")[0]
+
+
+def test_anomaly_flags_scan_events_twice(spark, static_plans):
+    text = plan(anomaly_flags(events(spark, SMALL)))
+    assert text.count("FileScan") == 2
+    assert "Window [lag(" in text and "FileScan" in text
 
 
 def test_hourly_is_one_scan_and_reads_few_columns(spark, static_plans):
