@@ -17,7 +17,7 @@ from eventmart.catalogue.tables import (
     user_changes,
     with_sql,
 )
-from eventmart.operators.history import current_rows, scd2, scd2_apply
+from eventmart.operators.history import current_rows, scd2, scd2_apply, scd2_extend, sequence_state
 from eventmart.operators.incremental import incremental_slice, of_keys, touched_days
 from eventmart.operators.merge import delete_where, erase_subjects, merge_upsert
 from eventmart.operators.ordering import rank_by_value, top_per_group
@@ -140,6 +140,10 @@ select user_id, event_type, ts as valid_from from latest where back = 1""",
         lambda spark, sf: _applied(spark, sf),
         with_sql(EVENT_CHANGES_SQL, query=EVENT_HISTORY_SQL),
     ),
+    "scd2_extend": (
+        lambda spark, sf: _extended(spark, sf),
+        with_sql(EVENT_CHANGES_SQL, query=EVENT_HISTORY_SQL),
+    ),
     "ad_performance_history": (
         lambda spark, sf: ad_plans.ad_performance(
             events(spark, sf),
@@ -320,3 +324,13 @@ def _applied(spark, sf):
     rule = (["user_id"], ["ts", "event_id"], ["event_type"])
     history = scd2_apply(None, first, first, *rule)
     return scd2_apply(history, changes, second, *rule)
+
+
+def _extended(spark, sf):
+    """The event history up to the watermark, extended by the later events; some of the early ones arrive with these."""
+    changes = _event_changes(spark, sf)
+    early = (F.col("ts") <= F.lit(WATERMARK)) & (F.col("event_id") % 50 > 0)
+    first, second = changes.filter(early), changes.filter(~early)
+    rule = (["user_id"], ["ts", "event_id"], ["event_type"])
+    history, state = scd2(first, *rule), sequence_state(first, *rule[:2])
+    return scd2_extend(history, state, changes, second, *rule)[0]

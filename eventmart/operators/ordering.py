@@ -1,8 +1,9 @@
 """Order-dependent operators that hold when one key owns much of the data.
 
-A window per key sorts that key's rows in one task. Here the rows of hot keys
-are cut into time chunks first; the value that crosses a chunk border comes
-from a small per-chunk table. Cold keys keep the plain window.
+A window per key sorts that key's rows in one task. Keys with few rows keep
+that plain window. Rows of hot keys are cut into ranges of (key, order) of a
+bounded size, whatever the type of the order; the value that crosses a border
+comes from a small table of the ranges' edges.
 """
 
 from __future__ import annotations
@@ -11,44 +12,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from eventmart.operators.joins import null_safe_join
+from eventmart.operators.joins import broadcast_if_small, null_safe_join
+from eventmart.session import ensure_checkpoint_dir
 
-# Rows per key one task may sort. The set of keys above it has fewer than
-# (all rows / HOT_ROWS) members, which bounds what is broadcast.
+# Rows per key one task may sort.
 HOT_ROWS = 5_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; reads only the key columns."""
-    return (
-        df.groupBy(F.struct(*keys).alias("__key"))
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .select("__key", F.lit(True).alias("__hot"))
-    )
+    """Keys with more than ``hot_rows`` rows, and their number of rows; reads only the key columns."""
+    return df.groupBy(F.struct(*keys).alias("__key")).count().filter(F.col("count") > hot_rows)
 
 
-def time_chunk(df: DataFrame, column: str, number_width: int = 100_000) -> Column:
-    """A value that never decreases with ``column`` and splits a long history."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("minute", column)
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(column) / number_width)
-    return F.col(column)
+def split_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> list[DataFrame]:
+    """The rows with ``__key`` (a never-null struct); those of hot keys apart, with ``__chunk``.
 
-
-def chunk_hot_keys(df: DataFrame, keys: Sequence[str], hot: DataFrame, chunk: Column) -> DataFrame:
-    """Adds ``__key`` (a never-null struct) and ``__chunk`` (null for cold keys)."""
-    return (
-        df.withColumn("__key", F.struct(*keys))
-        .join(F.broadcast(hot), "__key", "left")
-        .withColumn("__chunk", F.when(F.col("__hot"), chunk))
-        .drop("__hot")
-    )
+    One count over the keys of ``counted`` (by default ``df``; it must have as
+    many rows per key or more) decides. Usually no key is hot, then there is one
+    part and its plan has no trace of this. A chunk is a range of (key, order)
+    from Spark's range partitioning, numbered along the order, of half of
+    ``hot_rows`` on average; rows with equal order share one. The hot rows are
+    stored, so that a lost executor cannot move a border.
+    """
+    keyed = df.withColumn("__key", F.struct(*keys))
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = hot_keys(df if counted is None else counted, keys, hot_rows).checkpoint()
+    rows = hot.agg(F.sum("count")).first()[0]
+    if not rows:
+        return [keyed]
+    found = broadcast_if_small(hot.select("__key"))
+    chunks = -(-2 * rows // max(1, hot_rows))
+    ranged = keyed.join(found, "__key", "left_semi").repartitionByRange(chunks, "__key", *order)
+    return [keyed.join(found, "__key", "left_anti"), ranged.withColumn("__chunk", F.spark_partition_id()).checkpoint()]
 
 
 def neighbour(
@@ -56,21 +55,17 @@ def neighbour(
 ) -> DataFrame:
     """Adds the previous (or following) row's ``value`` struct as ``name``.
 
-    ``df`` comes from :func:`chunk_hot_keys`. Equal to ``lag``/``lead`` over the
-    whole key. Rows stay partitioned by (key, chunk), so several calls and a
-    grouping on the same pair need one shuffle together.
+    ``df`` is a part of :func:`split_hot`. Equal to ``lag``/``lead`` over the
+    whole key. Rows stay partitioned by key (and chunk), so several calls and a
+    grouping on the same columns need one shuffle together.
     """
-    window = Window.partitionBy("__key", "__chunk").orderBy(*order)
     shift = F.lead if following else F.lag
+    if "__chunk" not in df.columns:
+        return df.withColumn(name, shift(value).over(Window.partitionBy("__key").orderBy(*order)))
+    window = Window.partitionBy("__key", "__chunk").orderBy(*order)
     inside = df.withColumn("__v", value).withColumn(name, shift("__v").over(window))
-
     edge = F.min if following else F.max
-    per_chunk = (
-        df.filter(F.col("__chunk").isNotNull())
-        .withColumn("__v", value)
-        .groupBy("__key", "__chunk")
-        .agg(edge(F.struct(*order, "__v")).alias("__edge"))
-    )
+    per_chunk = df.withColumn("__v", value).groupBy("__key", "__chunk").agg(edge(F.struct(*order, "__v")).alias("__edge"))
     along = Window.partitionBy("__key").orderBy("__chunk")
     crossing = per_chunk.select(
         "__key", "__chunk", shift(F.col("__edge")["__v"]).over(along).alias("__outer")

@@ -8,6 +8,7 @@ All work is done on aggregates of (user, bucket); events are never joined back.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,10 @@ from pyspark.sql.window import Window, WindowSpec
 from eventmart.operators.joins import null_safe_join
 from eventmart.operators.ordering import (
     HOT_ROWS,
-    chunk_hot_keys,
-    hot_keys,
+    drop_chunks,
     neighbour,
     new_values,
-    time_chunk,
+    split_hot,
 )
 
 # Texts of the buckets and the flags.
@@ -74,12 +74,9 @@ def country_steps(events: DataFrame, country_gap: str | None = None, hot_rows: i
     event to be less than that long ago.
     """
     steps = events.groupBy("user_id", "timestamp", "country").agg(F.count("*").alias("n_events"))
-    chunked = chunk_hot_keys(
-        steps, ["user_id"], hot_keys(events, ["user_id"], hot_rows), time_chunk(steps, "timestamp")
-    )
-    found = neighbour(
-        chunked, ["timestamp", "country"], F.struct("country", "timestamp"), "previous"
-    )
+    order = ["timestamp", "country"]
+    parts = split_hot(steps, ["user_id"], order, hot_rows, counted=events)
+    found = reduce(DataFrame.unionByName, [drop_chunks(neighbour(p, order, F.struct("country", "timestamp"), "previous")) for p in parts])
     previous = F.col("previous")
     return found.select(
         "user_id",

@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventmart.operators.history import BUCKET, BUCKETS, rebuild_keys, with_bucket
+from eventmart.operators.history import BUCKET, BUCKETS, scd2, scd2_extend, sequence_state, with_bucket
+from eventmart.operators.incremental import of_keys
 from eventmart.operators.joins import broadcast_if_small
 from eventmart.session import ensure_checkpoint_dir
 from eventmart.sources.catalog import keep_buckets, overwrite_partitions, read_table, table_exists
 
 
+# Suffix of the table with the last sequence of each key.
+STATE = "__last"
+
+
+def state_table(table: str) -> str:
+    return f"{table}{STATE}"
+
+
 def apply_batch(
     batch: DataFrame,
-    staged: DataFrame,
+    staged: DataFrame | Callable[[], DataFrame],
     table: str,
     keys: Sequence[str],
     sequence_by: str | Sequence[str],
@@ -28,9 +37,13 @@ def apply_batch(
     """Takes one micro-batch into the history table.
 
     The table is partitioned by a hash bucket of the key; only buckets with a
-    key of the batch are read and rewritten. The same goes for ``staged`` if it
-    has that partition column. Running it again changes nothing. ``location``
-    is where a new table's files go, if not to the warehouse.
+    key of the batch are read and rewritten. A table beside it keeps the last
+    sequence of each key. Keys whose changes come in order are extended from
+    their open version; ``staged`` is read for late and repeated ones only, and
+    for the batch that creates the table, and then only its buckets if it has
+    that partition column. Running it again changes nothing, also if it stopped
+    between the two tables. ``location`` is where a new table's files go, if not
+    to the warehouse.
     """
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
@@ -43,21 +56,43 @@ def apply_batch(
         if placed.filter(F.col(BUCKET) != F.col("__staged")).take(1):
             raise ValueError(f"changes are not staged in {buckets} buckets")
     stored = with_bucket(batch.select(*keys).distinct(), keys, buckets).checkpoint()
-    touched = broadcast_if_small(stored.select(*keys))
     # At most ``buckets`` rows; Spark prunes partitions by them.
     used = F.broadcast(stored.select(BUCKET).distinct())
-    if BUCKET in staged.columns:
-        staged = staged.join(used, BUCKET, "left_semi").drop(BUCKET)
-    old = read_table(spark, table).join(used, BUCKET, "left_semi").drop(BUCKET) if exists else None
-    history = with_bucket(rebuild_keys(old, staged, touched, keys, sequence_by, track), keys, buckets)
-    # One task per bucket and piece of it, so that a bucket is a few files.
-    history = history.repartition(BUCKET, F.pmod(F.xxhash64(*keys, "valid_from"), F.lit(8)))
+
+    def changes() -> DataFrame:
+        found = staged() if callable(staged) else staged
+        return found.join(used, BUCKET, "left_semi").drop(BUCKET) if BUCKET in found.columns else found
+
+    def of_buckets(name: str) -> DataFrame:
+        return read_table(spark, name).join(used, BUCKET, "left_semi").drop(BUCKET)
+
+    last, rows = state_table(table), batch.drop(BUCKET)
     if exists:
-        overwrite_partitions(history, table)
+        if table_exists(spark, last):
+            state = of_buckets(last)
+        else:
+            state = sequence_state(rows, keys, sequence_by).limit(0)
+        history, state = scd2_extend(of_buckets(table), state, changes, rows, keys, sequence_by, track)
+        # Both are read from the stored tables, so the state is fixed before the history changes.
+        state = state.checkpoint()
+        overwrite_partitions(_in_few_files(with_bucket(history, keys, buckets)), table)
     else:
-        writer = history.write.partitionBy(BUCKET)
+        whole = of_keys(changes(), broadcast_if_small(stored.select(*keys)), keys)
+        history, state = scd2(whole, keys, sequence_by, track), sequence_state(whole, keys, sequence_by)
+        writer = _in_few_files(with_bucket(history, keys, buckets)).write.partitionBy(BUCKET)
         (writer.option("path", location) if location else writer).saveAsTable(table)
         keep_buckets(spark, table, buckets)
+    state = _in_few_files(with_bucket(state, keys, buckets))
+    if table_exists(spark, last):
+        overwrite_partitions(state, last)
+    else:
+        writer = state.write.partitionBy(BUCKET)
+        (writer.option("path", f"{location}{STATE}") if location else writer).saveAsTable(last)
+
+
+def _in_few_files(df: DataFrame) -> DataFrame:
+    """Rows of a bucket meet in tasks of about the advised size, so that it is a few files, however large it is."""
+    return df.hint("rebalance", BUCKET)
 
 
 def run_history(
@@ -80,7 +115,9 @@ def run_history(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def take_in(batch: DataFrame, _: int) -> None:
-        staged = batch.sparkSession.read.schema(schema).parquet(staged_folder)
+        def staged() -> DataFrame:
+            return batch.sparkSession.read.schema(schema).parquet(staged_folder)
+
         apply_batch(batch, staged, table, keys, sequence_by, track, buckets, location)
 
     writer = reader.parquet(staged_folder).writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)

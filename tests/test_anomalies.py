@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.catalogue.tables import events
-from eventmart.operators.ordering import chunk_hot_keys, hot_keys, neighbour, time_chunk
+from eventmart.operators.ordering import drop_chunks, neighbour, split_hot
 from eventmart.plans import anomalies
 from eventmart.plans.anomalies import anomaly_cases, anomaly_flags, bucket_signals, country_steps
 from tests.conftest import SMALL, rows
@@ -127,12 +129,12 @@ def test_summaries_of_two_halves_fold_as_the_whole(spark):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hot_rows", [0, 70, 10_000])
+@pytest.mark.parametrize("hot_rows", [20, 70, 10_000])
 def test_neighbour_equals_window(spark, following, hot_rows):
     df = events(spark, SMALL).select("user_id", "timestamp", "event_id", "country")
-    hot = hot_keys(df, ["user_id"], hot_rows)
-    chunked = chunk_hot_keys(df, ["user_id"], hot, time_chunk(df, "timestamp"))
-    got = neighbour(chunked, ["timestamp", "event_id"], F.struct("event_id", "country"), "near", following)
+    order = ["timestamp", "event_id"]
+    parts = [drop_chunks(neighbour(p, order, F.struct("event_id", "country"), "near", following)) for p in split_hot(df, ["user_id"], order, hot_rows)]
+    got = reduce(DataFrame.unionByName, parts)
     df.createOrReplaceTempView("plain")
     word = "lead" if following else "lag"
     expected = spark.sql(
@@ -142,6 +144,21 @@ def test_neighbour_equals_window(spark, following, hot_rows):
     assert rows(got.select("event_id", "near.event_id", "near.country")) == rows(expected)
 
 
+@pytest.mark.parametrize("order", ["text", "day", "at"])
+def test_chunks_of_any_order_are_bounded(spark, order):
+    """A text, a date, and a burst within one second, all of one key."""
+    df = spark.range(3000).select(
+        F.lit("k").alias("key"), "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.expr("date_add(date'2000-01-01', cast(id as int))").alias("day"),
+        F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id / 1000000)").alias("at"),
+    )
+    cold, hot = split_hot(df, ["key"], [order], 200)
+    assert cold.count() == 0 and hot.groupBy("__chunk").count().agg(F.max("count")).first()[0] <= 200
+    got = neighbour(hot, [order], F.struct("id"), "near").selectExpr("id", "near.id")
+    df.createOrReplaceTempView("burst")
+    assert rows(got) == rows(spark.sql(f"select id, lag(id) over (partition by key order by {order}) as b from burst"))
+
+
 def test_cells_at_larger_scale(spark):
     """Events per combination of spike, bot and suspicious, as counted by hand-written SQL."""
     s = bucket_signals(events(spark, "/root/testdata/sf0.01"), "day")

@@ -122,6 +122,24 @@ def test_history_stream_equals_batch(spark, root):
     assert rows(read_table(spark, table).drop(BUCKET)) == expected
 
 
+def test_batches_in_order_read_no_staged_changes(spark):
+    changes = _event_changes(spark, SMALL)
+    table = f"history_{uuid.uuid4().hex[:8]}"
+    rule = (["user_id"], ["ts", "event_id"], ["event_type"])
+    cuts = ["2024-01-08", "2024-01-16", "2025-01-01"]
+
+    def refuse():
+        raise AssertionError("staged changes are read")
+
+    low = "2000-01-01"
+    for high in cuts:
+        part = changes.filter((F.col("ts") >= low) & (F.col("ts") < high))
+        # the first batch creates the table from all that is staged
+        apply_batch(part, part if low == "2000-01-01" else refuse, table, *rule, buckets=4)
+        low = high
+    assert rows(read_table(spark, table).drop(BUCKET)) == rows(scd2(changes, *rule))
+
+
 def test_csv_users_to_history(spark, root):
     """Landing CSV to bronze, to bucketed staged changes, to history."""
     names = source_schema("users").fieldNames()
