@@ -11,8 +11,10 @@ from eventmart.catalogue.tables import table
 from eventmart.config import default_rules
 from eventmart.functions.privacy import mask, row_visible
 from eventmart.operators.project import typed_select
-from eventmart.operators.quality import expect_drop, load_rules, rule_metrics
+from eventmart.operators.quality import counter_events, expect_drop, load_rules, read_counters, rule_metrics, store_counters
+from eventmart.plans.monitors import rule_outcomes
 from eventmart.plans.privacy_views import privacy_view
+from eventmart.session import shared_folder
 
 FEED_SCHEMA = (
     "user_id string, tier string, country string, is_active string, signup_date date, followers int, "
@@ -92,6 +94,22 @@ people as (
     c_acctbal as balance
   from customer left join nation on c_nationkey = n_nationkey)"""
 
+
+
+def _counter_outcomes(spark, sf):
+    """Rules counted per micro-batch, one of them twice, and read back as the rule monitor's report of one run."""
+    folder = shared_folder(spark, "counters")
+    typed = _typed(spark, sf)
+    for batch in (0, 1, 2, 1):
+        part = typed.filter(F.pmod(F.crc32(F.coalesce("user_id", F.lit(""))), F.lit(3)) == batch)
+        store_counters(part, _rules(spark), folder, "users", batch, "run_1")
+    log = counter_events(read_counters(spark, folder), "people")
+    pipelines = table(spark, sf, "region").filter("r_regionkey = 0").select(F.col("r_regionkey").alias("pipeline_id"), F.lit("people").alias("name"))
+    at = F.lit(RULE_DAY).cast("timestamp")
+    runs = pipelines.select("pipeline_id", F.lit("run_1").alias("update_id"), at.alias("period_start_time"), at.alias("period_end_time"))
+    return rule_outcomes(pipelines, runs, log, None, at, at).drop("run_start_time", "run_end_time")
+
+
 # Callers in the privacy queries.
 ANALYST = ["analyst_UK", "analyst_free_tiers"]
 
@@ -120,6 +138,23 @@ select concat_ws('-', 'users', field_name, action_type) as rule_id, field_name,
   total_records - passed_records as failed_records, total_records,
   cast(round(cast(passed_records / total_records as decimal(18,10)), 2) as double) * 100 as pass_percentage
 from outcomes""",
+    ),
+    "rule_outcomes_from_counters": (
+        lambda spark, sf: _counter_outcomes(spark, sf),
+        f"""with {FEED_SQL},
+rules as (
+  select * from (values ('user_id', 'drop'), ('updated_at', 'drop'), ('is_active', 'drop'), ('tier', 'warn'),
+    ('signup_date', 'warn'), ('country', 'warn')) as r(field_name, action_type)),
+outcomes as (
+  select r.*, count(*) as total, count(case r.field_name when 'user_id' then user_id when 'tier' then tier
+      when 'is_active' then is_active when 'country' then country when 'updated_at' then cast(updated_at as varchar)
+      else cast(signup_date as varchar) end) as passed
+  from rules r, typed group by all)
+select 'people' as pipeline_name, r_regionkey as pipeline_id, 'users' as flow_name,
+  concat_ws('-', 'users', field_name, action_type) as expectations_name, cast(passed as varchar) as passed_records,
+  cast(total - passed as varchar) as failed_records, cast(total as varchar) as total_rows,
+  cast((200 * passed + total) // (2 * total) as decimal(19,2)) as pass_percentage, 'run_1' as update_id
+from outcomes, region where r_regionkey = 0""",
     ),
     "json_extract": (
         lambda spark, sf: table(spark, sf, "events").select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventmart.catalogue.changes import EVENT_CHANGES_SQL, EVENT_HISTORY_SQL
 from eventmart.catalogue.tables import EVENTS_SQL, events, table, with_sql
@@ -24,6 +24,7 @@ from eventmart.sources.landing import (
     read_landing_json,
     rescue,
 )
+from eventmart.sources.schema_store import remembered_schema
 from eventmart.streaming.history import run_history
 from eventmart.streaming.ingest import clean_folder, ingest_landing
 
@@ -82,6 +83,48 @@ def _export_users(spark, sf, name):
 USERS = _text_schema("user_id", "username", "tier")
 
 
+def _export_changing_users(spark, sf, name):
+    """Users in files of three headers: as agreed; reordered without a column; with a new column and ids that do not fit."""
+    root = shared_folder(spark, name)
+    users = table(spark, sf, "customer")
+    key, named, tier = F.col("c_custkey"), F.col("c_name").alias("username"), F.col("c_mktsegment").alias("tier")
+    export_files(users.filter(key % 3 == 0).select(key.alias("user_id"), named, tier), f"{root}/users", "csv")
+    export_files(users.filter(key % 3 == 1).select(tier, key.alias("User_Id")), f"{root}/users", "csv")
+    odd = F.concat(F.lit("u"), key).alias("user_id")
+    export_files(users.filter(key % 3 == 2).select(F.concat(F.lit("n, "), key).alias("note"), odd, named, tier), f"{root}/users", "csv")
+    return root
+
+
+TYPED_USERS = StructType([StructField("user_id", LongType()), *_text_schema("username", "tier").fields])
+CHANGING_USERS_SQL = """
+select case when c_custkey % 3 <> 2 then c_custkey end as user_id, case when c_custkey % 3 <> 1 then c_name end as username,
+  c_mktsegment as tier,
+  case when c_custkey % 3 = 2 then concat('{"note":"n, ', c_custkey, '","user_id":"u', c_custkey, '"}') end as _rescued_data
+from customer"""
+
+
+def _stream_changing_users(spark, sf):
+    root = _export_changing_users(spark, sf, "stream")
+    bronze = f"{root}/bronze"
+    ingest_landing(
+        spark, f"{root}/users/*.csv", "csv", TYPED_USERS, bronze, f"{root}/cp", files_per_trigger=2
+    ).awaitTermination()
+    return spark.read.parquet(bronze).select("user_id", "username", "tier", "_rescued_data")
+
+
+def _remembered(spark, sf):
+    """The users read by a schema that was inferred from the first files and widened by the rest."""
+    root = shared_folder(spark, "remembered")
+    users = table(spark, sf, "customer")
+    columns = [F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("tier")]
+    first, rest = f"{root}/users/first", f"{root}/users/rest"
+    export_files(users.filter("c_custkey % 2 = 0").select(*columns), first, "csv")
+    remembered_schema(spark, first, f"{root}/schema")
+    export_files(users.filter("c_custkey % 2 = 1").select(*columns, (F.col("c_acctbal") * 1).alias("balance")), rest, "csv")
+    schema = remembered_schema(spark, rest, f"{root}/schema", new_files=True)
+    return read_landing_csv(spark, f"{root}/users/*", schema).select("user_id", "tier", "balance", "_rescued_data")
+
+
 def _batch_events(spark, sf):
     root = _export_events(spark, sf, "landing")
     return read_landing_json(spark, f"{root}/events/batch_*/*.json", RAW_EVENTS)
@@ -137,6 +180,20 @@ def _stream_history(spark, sf):
 
 
 QUERIES = {
+    "rescue_csv": (
+        lambda spark, sf: read_landing_csv(
+            spark, f"{_export_changing_users(spark, sf, 'landing')}/users/*.csv", TYPED_USERS
+        ).select("user_id", "username", "tier", "_rescued_data"),
+        CHANGING_USERS_SQL,
+    ),
+    "stream_rescue_csv": (lambda spark, sf: _stream_changing_users(spark, sf), CHANGING_USERS_SQL),
+    "remembered_schema": (
+        lambda spark, sf: _remembered(spark, sf),
+        """
+select cast(c_custkey as int) as user_id, c_mktsegment as tier, case when c_custkey % 2 = 1 then c_acctbal end as balance,
+  cast(null as varchar) as _rescued_data
+from customer""",
+    ),
     "rescue_json": (
         lambda spark, sf: _rescued(spark, sf),
         """

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from eventmart.schemas import ENTITIES, bronze_schema, ddl, silver_schema
 from eventmart.sources.landing import landing_path
+from eventmart.sources.schema_store import remembered_schema
 
 PROPERTIES_SCHEMA = (
     "env string, entity string, quality string, field_key string, field_value string, "
@@ -113,6 +114,13 @@ def schema_for(config: DataFrame, entity: str, quality: str, env: str = "dev") -
     return StructType.fromDDL(property_value(config, entity, "schema", quality, env))
 
 
+def landing_schema(config: DataFrame, entity: str, fmt: str = "csv", new_files: str | None = None, env: str = "dev") -> StructType:
+    """The remembered schema of an entity's landing files, kept at its configured place; ``new_files`` widen it."""
+    where = {k: property_value(config, entity, k, env=env) for k in ("landing_path", "schema_location_path")}
+    path = new_files or where["landing_path"]
+    return remembered_schema(config.sparkSession, path, where["schema_location_path"], fmt, new_files is not None)
+
+
 def pii_columns(config: DataFrame, entity: str, env: str = "dev") -> list[str]:
     return [c.strip() for c in property_value(config, entity, "pii_columns", "bronze", env).split(",")]
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,8 +69,8 @@ def expect_fail(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def expect_warn(df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = None) -> DataFrame:
-    """Keeps all rows; counts failures per warn rule through ``observation`` if given."""
-    chosen = _of(rules, "warn")
+    """Keeps all rows; counts failures per warn and drop rule through ``observation`` if given."""
+    chosen = _of(rules, "warn") + _of(rules, "drop")
     if not chosen or observation is None:
         return df
     counters = [F.count(F.lit(1)).alias("total_records")]
@@ -79,7 +79,7 @@ def expect_warn(df: DataFrame, rules: Sequence[Rule], observation: Observation |
 
 
 def expect(df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = None) -> DataFrame:
-    """All three actions: fail first, then count warnings on what came in, then drop."""
+    """All three actions: fail first, then count on what came in, then drop."""
     return expect_drop(expect_warn(expect_fail(df, rules), rules, observation), rules)
 
 
@@ -124,3 +124,44 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     percent = F.round(F.try_divide("passed_records", "total_records"), 2) * 100
     return counts.select(F.inline(rows)).withColumn("pass_percentage", percent)
+
+
+COUNTERS_SCHEMA = (
+    "stream string, batch_id bigint, update_id string, rule_id string, field_name string, action_type string, "
+    "passed_records bigint, failed_records bigint, total_records bigint"
+)
+
+
+def store_counters(df: DataFrame, rules: Sequence[Rule], folder: str, stream: str, batch_id: int, update_id: str = "") -> None:
+    """Keeps one batch's counters of all rules, warn, drop and fail, on the rows as they came in.
+
+    The folder is partitioned by (stream, batch); a batch that comes again
+    replaces its own counters and nothing else. ``update_id`` names the run.
+    """
+    named = {"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint"), "update_id": F.lit(update_id)}
+    found = rule_metrics(df, rules).withColumns(named).select(*[c.split()[0] for c in COUNTERS_SCHEMA.split(", ")])
+    writer = found.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("stream", "batch_id").parquet(folder)
+
+
+def read_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """All counters kept in a folder, in the order of ``COUNTERS_SCHEMA``."""
+    return spark.read.schema(COUNTERS_SCHEMA).parquet(folder).select(*[c.split()[0] for c in COUNTERS_SCHEMA.split(", ")])
+
+
+def counter_events(counters: DataFrame, pipeline_name: str) -> DataFrame:
+    """The counters as event-log rows, summed over the batches of a run: what the rule monitor reads."""
+    sums = [F.sum(c).cast("string").alias(c) for c in ("passed_records", "failed_records", "total_records")]
+    runs = counters.groupBy("stream", "update_id", "rule_id").agg(*sums)
+    report = F.struct(F.col("rule_id").alias("name"), F.col("stream").alias("dataset"), "passed_records", "failed_records")
+    progress = F.struct(
+        F.struct(F.col("total_records").alias("num_output_rows")).alias("metrics"),
+        F.struct(F.array(report).alias("expectations")).alias("data_quality"),
+    )
+    definition = F.struct(F.struct(F.col("stream").alias("output_dataset")).alias("flow_definition"))
+    entries = F.array(
+        F.struct(F.lit("flow_definition").alias("event_type"), F.to_json(definition).alias("details")),
+        F.struct(F.lit("flow_progress").alias("event_type"), F.to_json(F.struct(progress.alias("flow_progress"))).alias("details")),
+    )
+    origin = F.struct(F.col("update_id").alias("request_id"), F.lit(pipeline_name).alias("pipeline_name"))
+    return runs.select(origin.alias("origin"), F.inline(entries)).select("event_type", "origin", "details")

@@ -12,10 +12,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from eventmart.operators.joins import interval_overlap_join
 from eventmart.operators.ordering import top_per_group
-from eventmart.sources.catalog import file_stats, table_details
+from eventmart.session import ensure_checkpoint_dir
+from eventmart.sources.catalog import folder_stats, footer_counts, many_table_details
 
 # Event kinds of the pipeline event log and the parts of its JSON details.
 FLOW_EVENTS = ["flow_progress", "flow_definition"]
@@ -100,39 +102,59 @@ def read_event_logs(spark: SparkSession, found: DataFrame) -> DataFrame | None:
     return reduce(DataFrame.unionByName, logs) if logs else None
 
 
-def _with_details(event_log: DataFrame, details_type: str) -> DataFrame:
-    """Run, pipeline and the wanted parts of the JSON details, parsed once."""
-    return event_log.select(
-        F.col("origin.request_id").alias("update_id"),
-        F.col("origin.pipeline_name").alias("pipeline_name"),
-        F.from_json("details", details_type).alias("d"),
-    )
-
+def log_entries(event_log: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """One row per expectation and per flow an event of the log names; a flow's row has no expectation.
 
-def flow_names(event_log: DataFrame) -> DataFrame:
-    """Distinct output datasets per run, from the log's flow events."""
-    flows = _with_details(event_log.filter(F.col("event_type").isin(FLOW_EVENTS)), FLOW_TYPE)
-    # Generated, so that the null filter does not repeat the parsing below it.
-    return (
-        flows.select("update_id", "pipeline_name", F.explode(F.array("d.flow_definition.output_dataset")).alias("flow_name"))
-        .filter(F.col("flow_name").isNotNull())
-        .distinct()
+    ``runs`` (pipeline_name, update_id) cuts the log to these runs before its
+    details are parsed, which happens once.
+    """
+    entries = event_log.select(
+        F.col("origin.request_id").alias("update_id"), F.col("origin.pipeline_name").alias("pipeline_name"), "event_type", "details"
     )
-
-
-def expectation_records(event_log: DataFrame) -> DataFrame:
-    """One row per expectation reported in the log, with its counters."""
-    return (
-        _with_details(event_log, PROGRESS_TYPE)
-        .select(
-            "update_id",
-            "pipeline_name",
-            F.col("d.flow_progress.metrics.num_output_rows").alias("total_rows"),
-            F.inline("d.flow_progress.data_quality.expectations"),
-        )
-        .withColumnRenamed("name", "expectations_name")
-        .filter(F.col("expectations_name").isNotNull())
+    if runs is not None:
+        entries = entries.join(runs.select("pipeline_name", "update_id"), ["pipeline_name", "update_id"], "left_semi")
+    parsed = entries.select("update_id", "pipeline_name", "event_type", F.from_json("details", f"{FLOW_TYPE}, {PROGRESS_TYPE}").alias("d"))
+    flow, progress = F.col("d.flow_definition.output_dataset"), F.col("d.flow_progress")
+    text = F.lit(None).cast("string")
+    counters = ("total_rows", "passed_records", "failed_records")
+    flows = F.when(
+        F.col("event_type").isin(FLOW_EVENTS) & flow.isNotNull(),
+        F.array(F.struct(flow.alias("dataset"), text.alias("expectations_name"), *[text.alias(c) for c in counters])),
     )
+    reports = F.transform(
+        progress["data_quality"]["expectations"],
+        lambda e: F.struct(
+            e["dataset"].alias("dataset"), e["name"].alias("expectations_name"), progress["metrics"]["num_output_rows"].alias("total_rows"),
+            e["passed_records"].alias("passed_records"), e["failed_records"].alias("failed_records"),
+        ),
+    )
+    named = F.filter(reports, lambda e: e["expectations_name"].isNotNull())
+    # Generated rows, so that filters on them do not repeat the parsing below.
+    return parsed.select("update_id", "pipeline_name", F.inline(F.concat(F.coalesce(flows, F.array()), F.coalesce(named, F.array()))))
+
+
+def _paired(entries: DataFrame, match_dataset: bool) -> DataFrame:
+    """The report over most rows of each expectation, with the flow (or every flow of the run) it goes to.
+
+    Entries are cut to one per (run, dataset, expectation) first; flows and
+    reports then meet in a window over these few, so the log is read once.
+    """
+    run = ["pipeline_name", "update_id"]
+    counters = ("total_rows", "passed_records", "failed_records")
+    most = F.max(F.struct(*[F.expr(f"try_cast({c} as bigint)").alias(f"__{c}") for c in counters], *counters)).alias("report")
+    is_flow = F.col("expectations_name").isNull()
+    entries = entries.groupBy(*run, "dataset", "expectations_name").agg(most)
+    if match_dataset:
+        flows = F.max(is_flow).over(Window.partitionBy(*run, "dataset"))
+        found = entries.withColumn("__flow", flows).filter(~is_flow & F.col("__flow")).withColumnRenamed("dataset", "flow_name")
+    else:
+        # A run has as many flows as its pipeline's code names.
+        flows = F.collect_set(F.when(is_flow, F.col("dataset"))).over(Window.partitionBy(*run))
+        reports = entries.withColumn("__flows", flows).filter(~is_flow).groupBy(*run, "expectations_name").agg(
+            F.max("report").alias("report"), F.first("__flows").alias("__flows")
+        )
+        found = reports.withColumn("flow_name", F.explode("__flows"))
+    return found.select(*run, "flow_name", "expectations_name", *[F.col("report")[c].alias(c) for c in counters])
 
 
 def rule_outcomes(
@@ -149,7 +171,7 @@ def rule_outcomes(
     A flow is paired with the expectations on its own dataset; without
     ``match_dataset`` with every expectation of its run. Of several
     reports the one over most rows stays. The share is null when no row was
-    written.
+    written. The log is cut to the wanted runs, then read and parsed once.
     """
     inside = (
         runs.filter((F.col("period_start_time") >= _at(start)) & (F.col("period_end_time") <= _at(end)))
@@ -161,29 +183,14 @@ def rule_outcomes(
         )
         .join(_named(pipelines, names), "pipeline_id")
     )
-    run = ["pipeline_name", "update_id"]
-    # Reports are cut to one per expectation and run before flows multiply them.
-    reports = top_per_group(
-        expectation_records(event_log),
-        [*run, "dataset", "expectations_name"] if match_dataset else [*run, "expectations_name"],
-        [F.expr(f"try_cast({c} as bigint)").desc() for c in ("total_rows", "passed_records", "failed_records")],
-    )
-    flows = flow_names(event_log)
-    if match_dataset:
-        found = reports.withColumnRenamed("dataset", "flow_name").join(flows, [*run, "flow_name"])
-    else:
-        found = reports.drop("dataset").join(flows, run)
+    found = _paired(log_entries(event_log, inside), match_dataset)
     share = F.try_divide(
         F.expr("try_cast(passed_records as bigint)") * F.lit(1.0).cast("decimal(2,1)"),
         F.expr("try_cast(total_rows as bigint)"),
     )
-    joined = found.join(inside, run)
-    unique = top_per_group(
-        joined,
-        ["pipeline_id", "update_id", "flow_name", "expectations_name"],
-        [F.desc("run_end_time"), F.desc("run_start_time")],
-    )
-    return unique.select(
+    # One row per pipeline and run; a run may be listed for several pipelines of a name.
+    latest = top_per_group(inside, ["pipeline_id", "update_id"], [F.desc("run_end_time"), F.desc("run_start_time")])
+    return found.join(latest, ["pipeline_name", "update_id"]).select(
         "pipeline_name",
         "pipeline_id",
         "flow_name",
@@ -270,10 +277,12 @@ def run_cost(
     ).distinct()
 
 
-def _growth_row(stats: DataFrame, names: Sequence[str | None], num_rows: Column | DataFrame, snapshot) -> DataFrame:
+def _growth(stats: DataFrame, snapshot) -> DataFrame:
     return stats.select(
-        *[F.lit(n).cast("string").alias(c) for n, c in zip(names, ("table_catalog", "table_schema", "table_name"))],
-        (num_rows.scalar() if isinstance(num_rows, DataFrame) else num_rows).cast("long").alias("num_rows"),
+        "table_catalog",
+        "table_schema",
+        "table_name",
+        F.col("num_rows").cast("long").alias("num_rows"),
         "num_files",
         "size_bytes",
         F.round(F.col("size_bytes") / F.lit(1024 * 1024), 2).alias("size_mb"),
@@ -285,23 +294,38 @@ def _growth_row(stats: DataFrame, names: Sequence[str | None], num_rows: Column
 def folder_growth(spark: SparkSession, folders: dict[str, str], snapshot=None) -> DataFrame:
     """Rows, files, bytes and times of Parquet folders or files, by the given names.
 
-    Row counts come from the file footers.
+    One listing and one count of all; row counts come from the file footers.
     """
-    parts = [
-        _growth_row(file_stats(spark, path), (None, None, name), spark.read.parquet(path).agg(F.count("*")), snapshot)
-        for name, path in folders.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    found = folder_stats(spark, folders).join(footer_counts(spark, folders), "name")
+    none = F.lit(None).cast("string")
+    return _growth(found.withColumns({"table_catalog": none, "table_schema": none, "table_name": F.col("name")}), snapshot)
 
 
 def table_growth(spark: SparkSession, tables: Sequence[str], snapshot=None) -> DataFrame:
-    """The same for catalog tables; row counts come from their statistics if these are there."""
-    parts = []
-    for table in tables:
-        info = table_details(spark, table).take(1)[0]
-        known = F.regexp_extract(F.lit(info["Statistics"] or ""), r"(\d+) rows", 1)
-        has_rows = " rows" in (info["Statistics"] or "")
-        count = known if has_rows else spark.table(table).agg(F.count("*"))
-        names = (info["Catalog"], info["Database"], info["Table"])
-        parts.append(_growth_row(file_stats(spark, info["Location"]), names, count, snapshot))
-    return reduce(DataFrame.unionByName, parts)
+    """The same for catalog tables; row counts come from their statistics if these are there.
+
+    One catalog command per database, one listing and one count for all tables;
+    the tables' names and places come to the driver, a row each.
+    """
+    found = many_table_details(spark, tables).withColumn("known", F.regexp_extract("statistics", r"(\d+) rows", 1))
+    ensure_checkpoint_dir(spark)
+    found = found.withColumn("known", F.expr("try_cast(known as bigint)")).checkpoint()
+    rows = found.select("name", "location", "provider", "known").collect()
+    missing = set(tables) - {r["name"] for r in rows}
+    if missing:
+        raise LookupError(f"no such tables: {sorted(missing)}")
+    stats = folder_stats(spark, {r["name"]: r["location"] for r in rows})
+    joined = found.join(stats, "name")
+    counted = [r for r in rows if r["known"] is None]
+    parquet = {r["name"]: r["location"] for r in counted if (r["provider"] or "").lower() == "parquet"}
+    counts = [footer_counts(spark, parquet)] if parquet else []
+    counts += [
+        spark.table(r["name"]).agg(F.lit(r["name"]).alias("name"), F.count("*").alias("num_rows")).select("name", "num_rows")
+        for r in counted
+        if r["name"] not in parquet
+    ]
+    if counts:
+        joined = joined.join(reduce(DataFrame.unionByName, counts), "name", "left").withColumn("num_rows", F.coalesce("known", "num_rows"))
+    else:
+        joined = joined.withColumn("num_rows", F.col("known"))
+    return _growth(joined, snapshot)

@@ -21,14 +21,14 @@ from eventmart.operators.incremental import (
     watermark_value,
 )
 from eventmart.operators.joins import broadcast_if_small, null_safe_join
-from eventmart.operators.merge import delete_where, erase_subjects, replace_keys
+from eventmart.operators.merge import delete_where, replace_keys
 from eventmart.plans import ads as ad_plans
 from eventmart.plans import anomalies, content, hourly, sessions
 from eventmart.session import ensure_checkpoint_dir
 from eventmart.sources.catalog import (
+    delete_matches,
     delete_rows,
     drop_table,
-    finish_swap,
     keep_buckets,
     read_table,
     replace_table,
@@ -262,8 +262,6 @@ def run_mart(
     if refresh not in ("incremental", "full"):
         raise ValueError("refresh is 'incremental' or 'full'")
     entities = [name, *(f"{name}:{t}" for t in source_tables[1:])]
-    for table in (target_table, watermark_table):
-        finish_swap(spark, table)
     if refresh == "full":
         drop_table(spark, target_table)
         drop_table(spark, partials_table(target_table))
@@ -320,9 +318,12 @@ def store_monitor(rows: DataFrame, monitor: str, table: str, refresh: str = "inc
 
 
 def erase_from_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], subjects: DataFrame, key: str) -> None:
-    """Rewrites each (table, subject column) without the subjects, in the order given."""
+    """Takes the subjects' rows out of each (table, subject column), in the order given.
+
+    Partitions without such a row keep their files. List a mart's table of
+    partials too, if it has one by subject.
+    """
     ensure_checkpoint_dir(spark)
     gone = broadcast_if_small(subjects.select(key).distinct().checkpoint())
     for table, column in tables:
-        kept = erase_subjects({table: (read_table(spark, table), column)}, gone, key)[table]
-        replace_table(kept, table)
+        delete_matches(spark, table, gone, column, key)

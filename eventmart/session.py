@@ -45,3 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Makes ``DataFrame.checkpoint`` usable without overriding the cluster's folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it lies; one that is not there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from eventmart.operators.joins import broadcast_if_small
+from eventmart.session import ensure_checkpoint_dir
+
 RESCUED = "_rescued_data"
+# Column of a line whose number of fields is not that of its header, while it is read.
+_BAD_LINE = "__bad_line"
+# Different header lines one read may meet.
+MOST_HEADERS = 200
 # Landing folders below a landing root.
 LANDING_GLOBS = {"events": "events/batch_*/*.json", "users": "users/*.csv", "ads": "ads/*.csv"}
 
@@ -87,29 +95,71 @@ def read_landing_json(
     return _bronze_order(with_audit(rescue(lines, schema)), schema)
 
 
-def read_landing_csv(
-    spark: SparkSession, path: str, schema: StructType, streaming: bool = False, files_per_trigger: int | None = None
+def csv_lines(
+    spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Bronze rows of CSV files with a header.
-
-    Lines with too few or too many fields, or values of a wrong type, are kept
-    in ``_rescued_data``. A header that differs from the schema stops the job.
-    """
+    """Lines of CSV files as they are, with their file and their place in it."""
     reader = spark.readStream if streaming else spark.read
     if streaming and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    start = F.col("_metadata.file_block_start").alias("__start")
+    return reader.format("text").load(path).select("value", *_lineage(), start)
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """The header of each file: source_file_path and ``__header``, its first line that is not blank.
+
+    Only the first block of a file is looked at; inside a task, lines come in
+    the file's order.
+    """
+    first = lines.filter((F.col("__start") == 0) & (F.length(F.trim("value")) > 0))
+    numbered = first.select("source_file_path", F.struct(F.monotonically_increasing_id().alias("at"), "value").alias("__line"))
+    return numbered.groupBy("source_file_path").agg(F.min("__line")["value"].alias("__header"))
+
+
+def _header_schema(header: str, schema: StructType) -> StructType:
+    """Text fields in the order of a header line; a name of the schema in any case is that column, a repeated one is not."""
+    known = {f.name.lower(): f.name for f in schema}
+    names: list[str] = []
+    for i, cell in enumerate(next(csv.reader([header]))):
+        name = known.get(cell.strip().lower(), cell.strip() or f"column_{i + 1}")
+        names.append(name if name not in names else f"{name}_{i + 1}")
+    return StructType([StructField(n, StringType()) for n in [*names, _BAD_LINE]])
+
+
+def csv_records(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Bronze rows of :func:`csv_lines`, every line read by the header of its own file.
+
+    Columns may come in any order; one that a file lacks is null. Fields of
+    unknown columns, and values that cannot be cast to their column's type, are
+    kept in ``_rescued_data`` as a JSON object; a line with too few or too many
+    fields is kept there whole. Lines equal to their file's header are headers.
+    One pass over the first blocks finds the headers. Their distinct forms come
+    to the driver, at most ``MOST_HEADERS``.
+    """
+    spark = lines.sparkSession
+    ensure_checkpoint_dir(spark)
+    headers = file_headers(lines).checkpoint()
+    forms = [r[0] for r in headers.select("__header").distinct().take(MOST_HEADERS + 1)]
+    if len(forms) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers; do the files have any?")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_LINE}
+    as_json = F.lit(None).cast("string")
+    for form in sorted(forms):
+        of_form = F.to_json(F.from_csv("value", _header_schema(form, schema).toDDL(), options))
+        as_json = F.when(F.col("__header") == form, of_form).otherwise(as_json)
     rows = (
-        reader.schema(StructType(schema.fields + [StructField(RESCUED, StringType())]))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .option("columnPruning", False)
-        .format("csv")
-        .load(path)
-        .select("*", *_lineage())
+        lines.join(broadcast_if_small(headers), "source_file_path")
+        .filter((F.col("value") != F.col("__header")) & (F.length(F.trim("value")) > 0))
+        .select(as_json.alias("value"), "source_file_name", "source_file_path")
     )
-    return _bronze_order(with_audit(rows), schema)
+    found = rescue(rows, StructType([*schema.fields, StructField(_BAD_LINE, StringType())]))
+    return _bronze_order(with_audit(found.withColumn(RESCUED, F.coalesce(_BAD_LINE, RESCUED))), schema)
+
+
+def read_landing_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Bronze rows of CSV files with a header each; see :func:`csv_records`."""
+    return csv_records(csv_lines(spark, path), schema)
 
 
 def infer_csv_schema(spark: SparkSession, path: str, share: float = 1.0) -> StructType:

@@ -10,8 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventmart.operators.history import BUCKET, BUCKETS, with_bucket
-from eventmart.operators.quality import Rule, clean
-from eventmart.sources.landing import read_landing_csv, read_landing_json
+from eventmart.operators.project import typed_select
+from eventmart.operators.quality import Rule, accepted, clean, store_counters
+from eventmart.sources.landing import csv_lines, csv_records, read_landing_json
+
+# Partition column of folders whose micro-batches are batch jobs.
+INGEST_BATCH = "ingest_batch"
 
 
 def run_ingest(
@@ -36,6 +40,12 @@ def run_ingest(
     return writer.start(path)
 
 
+def _write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
+    """Writes a micro-batch to its own partition of a folder, whole or not at all; one that comes again replaces it."""
+    batch = df.withColumn(INGEST_BATCH, F.lit(batch_id).cast("bigint"))
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(INGEST_BATCH).parquet(folder)
+
+
 def ingest_landing(
     spark: SparkSession,
     landing: str,
@@ -46,10 +56,52 @@ def ingest_landing(
     continuous: str | None = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Landing JSON or CSV files to a bronze folder."""
-    read = {"json": read_landing_json, "csv": read_landing_csv}[fmt]
-    stream = read(spark, landing, schema, streaming=True, files_per_trigger=files_per_trigger)
-    return run_ingest(stream, bronze, checkpoint, continuous)
+    """Landing JSON or CSV files to a bronze folder.
+
+    CSV lines are read by the header of their own file, which a stream cannot
+    join; so each micro-batch is a batch job, kept in its own partition
+    (``ingest_batch``), which a repeated batch replaces.
+    """
+    if fmt == "json":
+        stream = read_landing_json(spark, landing, schema, streaming=True, files_per_trigger=files_per_trigger)
+        return run_ingest(stream, bronze, checkpoint, continuous)
+    if fmt != "csv":
+        raise ValueError("fmt is 'csv' or 'json'")
+
+    def take_in(lines: DataFrame, batch_id: int) -> None:
+        _write_batch(csv_records(lines, schema), bronze, batch_id)
+
+    stream = csv_lines(spark, landing, streaming=True, files_per_trigger=files_per_trigger)
+    writer = stream.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def count_folder(
+    spark: SparkSession,
+    bronze: str,
+    bronze_schema: StructType,
+    silver_schema: StructType,
+    rules: Sequence[Rule],
+    counters: str,
+    stream: str,
+    checkpoint: str,
+    update_id: str = "",
+    continuous: str | None = None,
+) -> StreamingQuery:
+    """Counts what every rule says to the rows :func:`clean_folder` takes in, into a folder of counters.
+
+    A stream beside the cleaning one: a counter is stored with its batch or the
+    batch is counted again, so none is lost or doubled.
+    """
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        store_counters(typed_select(accepted(batch), silver_schema), rules, counters, stream, batch_id, update_id)
+
+    writer = spark.readStream.schema(bronze_schema).parquet(bronze).writeStream.foreachBatch(take_in)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def clean_folder(
@@ -68,7 +120,8 @@ def clean_folder(
 ) -> StreamingQuery:
     """Bronze folder to silver folder with the same rules as the batch path.
 
-    Warn counters reach listeners as an observed metric of each progress event.
+    Counters of warn and drop rules reach listeners as an observed metric of
+    each progress event; :func:`count_folder` keeps them in a table.
     With ``bucket_keys`` the silver folder is partitioned by their hash bucket,
     as staged changes for a history should be (in as many ``buckets``); with ``date_of`` by the local
     date of that column (``event_date``), as events should be.

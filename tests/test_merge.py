@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import uuid
 
 import pytest
@@ -103,18 +104,86 @@ def test_delete_from_partitions(spark, name):
     assert rows(catalog.read_table(spark, name).select("day", "n", "v")) == rows(data)
 
 
-def test_append_delete_and_interrupted_swap(spark, name):
+def test_append_and_delete(spark, name):
     catalog.append_table(make(spark, ("a", 1)), name)
     catalog.append_table(make(spark, ("b", 2)).select("v", "k"), name)
     catalog.delete_rows(spark, name, F.col("k") == "a")
-    assert rows(spark.table(name)) == [("b", 2)]
-    make(spark, ("z", 9)).write.saveAsTable(f"{name}{catalog.NEXT}")
-    catalog.drop_table(spark, name)
-    catalog.finish_swap(spark, name)
-    assert rows(spark.table(name)) == [("z", 9)]
+    assert rows(catalog.read_table(spark, name)) == [("b", 2)]
+    before = catalog.table_location(spark, name)
+    catalog.delete_rows(spark, name, F.col("k") == "none such")
+    assert catalog.table_location(spark, name) == before  # nothing to delete, nothing rewritten
     assert name in [r.table_name for r in catalog.table_names(spark, prefix=name).collect()]
 
 
+def test_a_reader_sees_old_or_new_rows_at_every_step(spark, name, monkeypatch):
+    """After each statement of a replacement the table has one version's rows, also for a reader that began before it."""
+    old, new = make(spark, ("a", 1), ("b", 2)), make(spark, ("a", 3), ("c", 4))
+    old.write.saveAsTable(name)
+    catalog.replace_table(old, name)  # so that there is a version before
+    began, seen = catalog.read_table(spark, name), []
+
+    class Watched:
+        """The session, looked at after every statement."""
+
+        def __getattr__(self, attribute):
+            return getattr(spark, attribute)
+
+        def sql(self, text):
+            out = spark.sql(text)
+            if text.startswith("alter table"):
+                seen.append(rows(catalog.read_table(spark, name)))
+            return out
+
+    monkeypatch.setattr(type(new), "sparkSession", property(lambda _: Watched()))
+    catalog.replace_table(new, name)
+    monkeypatch.undo()
+    assert seen[0] == rows(old) and seen[-1] == rows(new) and len(seen) == 2
+    assert rows(began) == rows(old)
+    assert rows(catalog.read_table(spark, name)) == rows(new)
+
+
+def test_old_versions_go(spark, name):
+    for v in range(5):
+        catalog.replace_table(make(spark, ("a", v)), name)
+    folder = catalog._version_folders(spark, name)[0].removeprefix("file:")
+    assert len(os.listdir(folder)) == 2  # the present one and the one before
+    catalog.append_table(make(spark, ("b", 1)), name)
+    catalog.upsert_table(make(spark, ("a", 9)), name, ["k"])
+    assert rows(catalog.read_table(spark, name)) == [("a", 9), ("b", 1)]
+    catalog.drop_table(spark, name)
+    assert not os.path.exists(folder)
+    catalog.replace_table(make(spark, ("z", 1)), name)
+    assert rows(catalog.read_table(spark, name)) == [("z", 1)]
+
+
+def test_partition_writes_leave_the_session_alone(spark, name, monkeypatch):
+    schema = "day string, v int"
+    spark.createDataFrame([("d1", 1), ("d2", 2)], schema).write.partitionBy("day").saveAsTable(name)
+    monkeypatch.setattr(type(spark.conf), "set", lambda *_: pytest.fail("a setting is changed"))
+    found = catalog.overwrite_partitions(spark.createDataFrame([("d2", 5), (None, 6), ("d'3", 7)], schema), name)
+    assert {r.day for r in found} == {"d2", None, "d'3"}
+    assert rows(catalog.read_table(spark, name).select("day", "v")) == sorted([("d1", 1), ("d2", 5), (None, 6), ("d'3", 7)], key=repr)
+
+
+def test_erased_subjects_leave_other_partitions_alone(spark, name):
+    schema = "day string, user_id int"
+    data = spark.createDataFrame([("d1", 1), ("d1", 2), ("d2", 3), (None, 4), (None, 1), ("d4", None)], schema)
+    data.repartition("day").write.partitionBy("day").saveAsTable(name)
+
+    def files():
+        return {r[1]: r[0] for r in catalog.read_table(spark, name).select("day", "_metadata.file_path").distinct().collect()}
+
+    before = files()
+    catalog.delete_matches(spark, name, spark.createDataFrame([(1,), (1,), (None,)], "id int"), "user_id", "id")
+    assert rows(catalog.read_table(spark, name).select("day", "user_id")) == sorted([("d1", 2), ("d2", 3), (None, 4), ("d4", None)], key=repr)
+    assert {before[f] for f in before.keys() & files().keys()} == {"d2", "d4"}
+    kept = files()
+    catalog.delete_matches(spark, name, spark.createDataFrame([(99,)], "id int"), "user_id", "id")
+    assert files() == kept
+    catalog.delete_matches(spark, name, spark.createDataFrame([(3,)], "id int"), "user_id", "id")
+    assert catalog.read_table(spark, name).filter("day = 'd2'").count() == 0
+
+
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_row_level_merge_resolves_its_columns(spark, name, monkeypatch, null_safe):
     """No format with row-level changes is installed: Spark must refuse the table, not the condition."""

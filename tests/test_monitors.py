@@ -173,3 +173,40 @@ def test_growth_of_folders(spark):
     got = folder_growth(spark, {"region": f"{SMALL}/region.parquet"}).collect()[0]
     assert (got.table_name, got.num_rows, got.num_files) == ("region", 5, 1)
     assert got.snapshot_date == got.last_modified
+
+
+def test_growth_of_many_tables_is_a_few_jobs(spark, tmp_path):
+    tag = uuid.uuid4().hex[:8]
+    names = [f"many_{tag}_{i}" for i in range(40)]
+    for i, name in enumerate(names[:-2]):
+        spark.range(i).coalesce(1).write.saveAsTable(name)
+    spark.range(7).selectExpr("id", "id % 2 as p").write.partitionBy("p").saveAsTable(names[-2])
+    spark.range(9).write.format("json").saveAsTable(names[-1])
+    spark.sql(f"analyze table {names[5]} compute statistics")
+    sc = spark.sparkContext
+
+    def grown(tables):
+        """What is found, and the number of jobs that takes."""
+        group = uuid.uuid4().hex
+        sc.setJobGroup(group, "growth")
+        try:
+            found = {r.table_name: (r.num_rows, r.table_schema) for r in table_growth(spark, tables, at(6)).collect()}
+            return found, len(sc.statusTracker().getJobIdsForGroup(group))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+
+    few, all_of = grown([*names[:6], names[-1]])[1], [*names[:-1], f"default.{names[-1]}"]
+    found, many = grown(all_of)
+    assert many <= few + 3  # two listings of more than 32 folders are jobs of their own
+    assert found == {n: (i, "default") for i, n in enumerate(names[:-2])} | {names[-2]: (7, "default"), names[-1]: (9, "default")}
+    with pytest.raises(LookupError):
+        table_growth(spark, [f"none_{tag}"])
+
+
+def test_a_file_belongs_to_the_innermost_folder(spark, tmp_path):
+    outer, inner = f"{tmp_path}/a", f"{tmp_path}/a/b"
+    spark.range(3).coalesce(1).write.parquet(inner)
+    spark.range(5).coalesce(1).write.mode("append").parquet(f"{outer}/c")
+    (tmp_path / "empty").mkdir()
+    got = folder_growth(spark, {"outer": outer + "/", "inner": f"file://{inner}", "empty": f"{tmp_path}/empty"})
+    assert {r.table_name: (r.num_rows, r.num_files) for r in got.collect()} == {"outer": (5, 1), "inner": (3, 1), "empty": (0, 0)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from eventmart.catalogue.marts import QUERIES
@@ -12,6 +14,7 @@ from eventmart.operators.ordering import HOT_ROWS, top_per_group
 from eventmart.plans.anomalies import anomaly_flags, country_steps
 from eventmart.plans.content import content_engagement
 from eventmart.plans.hourly import hourly_active_users
+from eventmart.plans.monitors import rule_outcomes
 from eventmart.plans.sessions import user_session_summary
 from tests.conftest import SMALL
 
@@ -92,3 +95,16 @@ def test_broadcast_only_after_a_count(spark, static_plans):
     big, small = spark.range(100), spark.range(10)
     assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 10), "id", "left_semi"))
     assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, 9), "id", "left_semi"))
+
+
+@pytest.mark.parametrize("match_dataset", [True, False])
+def test_rule_outcomes_read_and_parse_the_log_once(spark, static_plans, tmp_path, match_dataset):
+    origin = "struct('r' as request_id, 'p' as pipeline_name) as origin"
+    spark.range(10).selectExpr("'flow_progress' as event_type", origin, "'{}' as details").write.parquet(f"{tmp_path}/log")
+    pipelines = spark.createDataFrame([(1, "p")], "pipeline_id int, name string")
+    at = "timestamp'2024-01-01' as period_start_time, timestamp'2024-01-01' as period_end_time"
+    runs = spark.sql(f"select 1 as pipeline_id, 'r' as update_id, {at}")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    text = plan(rule_outcomes(pipelines, runs, log, None, dt.datetime(2023, 1, 1), dt.datetime(2025, 1, 1), match_dataset))
+    assert text.count("FileScan") == 1 and text.count("from_json") == 1
+    assert text.index("from_json") < text.index("LeftSemi")  # printed top down: the runs are cut before parsing

@@ -12,13 +12,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 from eventmart import config
 from eventmart.catalogue.changes import _event_changes
 from eventmart.operators.history import BUCKET, scd2
-from eventmart.operators.quality import clean, load_rules
+from eventmart.operators.project import typed_select
+from eventmart.operators.quality import accepted, clean, load_rules, read_counters, rule_metrics, store_counters
 from eventmart.schemas import bronze_schema, silver_schema, source_schema
 from eventmart.session import shared_folder
+from eventmart.sources import landing
 from eventmart.sources.catalog import read_table
 from eventmart.sources.landing import landing_counts, landing_path, read_landing_csv, read_landing_json
 from eventmart.streaming.history import apply_batch, run_history
-from eventmart.streaming.ingest import clean_folder, ingest_landing
+from eventmart.streaming.ingest import clean_folder, count_folder, ingest_landing
 from tests.conftest import SMALL, rows
 
 
@@ -60,11 +62,93 @@ def test_rescue_of_landing_csv(spark, root):
     assert [(c.entity, c.n_files, c.n_records) for c in counts] == [("users", 1, 3)]
 
 
-def test_header_must_match(spark, root):
-    schema = StructType([StructField(n, StringType()) for n in ("user_id", "tier")])
-    write(f"{root}/users/a.csv", "tier,user_id", "free,1")
-    with pytest.raises(Exception):
-        read_landing_csv(spark, landing_path(root, "users"), schema).collect()
+def test_every_csv_file_is_read_by_its_own_header(spark, root):
+    schema = StructType.fromDDL("user_id string, tier string, n int")
+    write(f"{root}/users/a.csv", "", "user_id,tier,n", "1,free,5", "2,gold,x", '3,"a, b",7', "", "user_id,tier,n")
+    write(f"{root}/users/b.csv", "n,extra,USER_ID ", "5,more,4", "7,,5", "8,x", ",,")
+    write(f"{root}/users/c.csv", "tier,tier,,user_id", "g,h,i,6")
+    write(f"{root}/users/empty.csv", "")
+    got = read_landing_csv(spark, landing_path(root, "users"), schema).select("user_id", "tier", "n", "_rescued_data")
+    assert rows(got) == sorted(
+        [
+            ("1", "free", 5, None), ("2", "gold", None, '{"n":"x"}'), ("3", "a, b", 7, None),
+            ("4", None, 5, '{"extra":"more"}'), ("5", None, 7, None), (None, None, 8, "8,x"), (None, None, None, None),
+            ("6", "g", None, '{"tier_2":"h","column_3":"i"}'),
+        ],
+        key=repr,
+    )
+    none = read_landing_csv(spark, f"{root}/users/empty.csv", schema)
+    assert none.count() == 0 and none.columns[:3] == schema.fieldNames()
+
+
+def test_a_header_holds_for_all_blocks_of_its_file(spark, root):
+    lines = [f"{i},{'x' * 50},{i % 7}" for i in range(2000)]
+    write(f"{root}/users/big.csv", "n,tier,user_id", *lines)
+    write(f"{root}/users/other.csv", "user_id,n,tier", *[f"{i % 7},{i},y" for i in range(500)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = read_landing_csv(spark, landing_path(root, "users"), StructType.fromDDL("user_id int, n int, tier string"))
+        assert got.rdd.getNumPartitions() > 4
+        assert got.filter("_rescued_data is not null or user_id != n % 7").count() == 0 and got.count() == 2500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_too_many_headers_are_refused(spark, root, monkeypatch):
+    monkeypatch.setattr(landing, "MOST_HEADERS", 2)
+    for i in range(3):
+        write(f"{root}/users/{i}.csv", f"user_id,c{i}", "1,2")
+    with pytest.raises(ValueError, match="headers"):
+        read_landing_csv(spark, landing_path(root, "users"), StructType.fromDDL("user_id string"))
+
+
+def test_a_repeated_csv_batch_replaces_its_rows(spark, root):
+    schema = StructType.fromDDL("user_id string")
+    write(f"{root}/users/a.csv", "user_id", "1", "2")
+    bronze = f"{root}/bronze"
+
+    def run():
+        ingest_landing(spark, landing_path(root, "users"), "csv", schema, bronze, f"{root}/cp").awaitTermination()
+        return sorted(r.user_id for r in spark.read.parquet(bronze).collect())
+
+    assert run() == ["1", "2"]
+    os.remove(f"{root}/cp/commits/0")  # as if it stopped before the batch was committed
+    if os.path.exists(f"{root}/cp/commits/.0.crc"):
+        os.remove(f"{root}/cp/commits/.0.crc")
+    assert run() == ["1", "2"]
+    write(f"{root}/users/b.csv", "extra,user_id", "x,3")
+    assert run() == ["1", "2", "3"]
+
+
+def test_counters_of_a_stream_equal_those_of_a_batch(spark, root):
+    land, bronze, counters = landing_path(root, "events"), f"{root}/bronze", f"{root}/counters"
+    rules = load_rules(config.default_rules(spark), "events")
+
+    def run():
+        ingest_landing(spark, land, "json", source_schema("events"), bronze, f"{root}/c1").awaitTermination()
+        count_folder(
+            spark, bronze, bronze_schema("events"), silver_schema("events"), rules, counters, "events", f"{root}/c2", "run"
+        ).awaitTermination()
+
+    write(f"{root}/events/batch_001/a.json", event(1), event(2, extra="z"), "not json", event(3, user_id=None))
+    run()
+    write(f"{root}/events/batch_002/b.json", event(4, country="IN"), event(5, event_id=None))
+    run()
+    typed = typed_select(accepted(read_landing_json(spark, land, source_schema("events"))), silver_schema("events"))
+    expected = {(r.rule_id, r.passed_records, r.failed_records, r.total_records) for r in rule_metrics(typed, rules).collect()}
+    sums = read_counters(spark, counters).groupBy("rule_id").agg(F.sum("passed_records"), F.sum("failed_records"), F.sum("total_records"))
+    assert {tuple(r) for r in sums.collect()} == expected
+    drop = next(r for r in sums.collect() if r.rule_id == "events-user_id-drop")
+    assert drop[2] == 1  # dropped rows are counted too
+
+    # A batch that comes again replaces its counters, whatever they say.
+    before = rows(read_counters(spark, counters).filter("batch_id = 0"))
+    store_counters(typed.limit(1), rules, counters, "events", 1, "run")
+    store_counters(typed.limit(1), rules, counters, "other", 0, "run")
+    changed = read_counters(spark, counters)
+    assert rows(changed.filter("stream = 'events' and batch_id = 0")) == before
+    assert changed.filter("total_records = 1").count() == 2 * len(rules)
 
 
 def test_bronze_and_silver_streams(spark, root):
