@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.catalogue import changes, checks, ingestion, marts, monitoring
+from eventmart.catalogue import changes, checks, ingestion, marts, monitoring, operations
 
-MODULES = (marts, checks, changes, monitoring, ingestion)
+MODULES = (marts, checks, changes, monitoring, ingestion, operations)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
