@@ -13,15 +13,17 @@ left is dropped at once. Sorting all positions of a corpus is not needed:
 2. For the rest, the bytes around the anchor travel to its bucket. There each
    string is refined: identifiers of q-grams are joined to identifiers of 2q
    bytes, those to identifiers of the string, each round reusing the last.
-3. Buckets of anchors that very many documents have would be too large for one
-   task. A sample of the documents tells which anchors those are; it decides
-   where a bucket is handled, not what is found. Their rows are spread in step
-   1, and in step 2 each of their strings is a key of its own, with the least
-   document by an aggregate.
+3. Buckets of anchors that occur very often would be too large for one task. A
+   sample of the documents tells which anchors those are; it decides where a
+   bucket is handled, not what is found. Their rows are spread in step 1. In
+   step 2 whole windows (all strings of an anchor's place) are refined first:
+   of equal ones an aggregate finds the least document, and later documents are
+   covered whole. Only one row of each different window is cut into strings,
+   each a key of its own, again with the least document by an aggregate.
 4. Strings that an earlier document has are intervals of their document, which
    are merged and cut out of the text.
 
-Identifiers are 64-bit hashes.
+Identifiers are 64-bit hashes, those of step 3 128-bit ones.
 """
 
 from __future__ import annotations
@@ -40,8 +42,10 @@ from eventmart.llm.textbytes import blocks, mix, text_bytes
 LENGTH, Q = 50, 24
 #: Windows of a bucket task refined at once.
 WINDOWS = 1 << 19
-#: One document in SAMPLE is looked at for hot anchors: those that HOT sampled documents have. Their rows are dealt to SPREAD keys.
+#: One document in SAMPLE is looked at for hot anchors: those that occur HOT times there. Their rows are dealt to SPREAD keys.
 SAMPLE, HOT, SPREAD = 64, 64, 4096
+#: Hot anchors sent to all tasks at most; with more text they must occur more often.
+MOST_HOT = 1 << 22
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -96,15 +100,18 @@ def _distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hot(docs: DataFrame) -> np.ndarray:
-    """Anchors that many of the sampled documents have, in order. At most the sample's anchors by HOT."""
+    """Anchors that occur often in the sampled documents, in order; at most ``MOST_HOT``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            kinds, n = np.unique(_distinct(batch)[0], return_counts=True)
+            kinds, n = np.unique(anchors(*text_bytes(batch.column("text")))[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n)], ["anchor", "n"])
 
     some = docs.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(SAMPLE)) == 0).select("text")
-    found = some.mapInArrow(find, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
+    # every anchor takes a byte at least, so no more than MOST_HOT can occur that often
+    size = some.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    often = max(HOT, -(-size // MOST_HOT))
+    found = some.mapInArrow(find, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= often)
     return np.sort(found.select("anchor").toArrow()["anchor"].to_numpy())
 
 
@@ -216,26 +223,50 @@ def _with_anchors(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _hot_intervals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """As ``_intervals``, with every string as a key of its own: no task gets a whole bucket."""
+    """As ``_intervals``, by whole windows and then by strings of different windows: no task gets a whole bucket."""
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text", 1 << 19):
             data, offsets = text_bytes(batch.column("text"))
             _, _, text, lo, hi = _asked(batch, data, offsets)
-            n = hi - lo + 1
-            at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
-            text = np.repeat(text, n)
-            ids, later = gram_ids(data) if len(at) else np.zeros(0, np.uint64), at + LENGTH - 2 * Q
-            name = mix(mix(ids[at] * _C1 + ids[at + Q]) * _C1 + mix(ids[later] * _C1 + ids[later + Q]))
-            columns = [name.view(np.int64), batch.column("doc_id").to_numpy()[text], batch.column("version").to_numpy()[text], at - offsets[text]]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["string", "doc_id", "version", "start"])
+            raw, base = data.tobytes(), offsets[text]
+            found = [raw[a : b + LENGTH] for a, b in zip(lo.tolist(), hi.tolist())]
+            columns = [pa.array([hashlib.md5(x).digest() for x in found], pa.binary())]
+            columns += [pa.array(batch.column(c).to_numpy()[text]) for c in ("doc_id", "version")]
+            columns += [pa.array(lo - base), pa.array(hi - base + LENGTH), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["window", "doc_id", "version", "start", "end", "bytes"])
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, offsets = _binary(batch.column("bytes"))
+            n = np.diff(offsets) - LENGTH + 1
+            row = np.repeat(np.arange(len(n)), n)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at, ids = offsets[row] + step, gram_ids(data)
+            later = at + LENGTH - 2 * Q
+            names = [mix(mix(ids[at] * c ^ ids[at + Q]) * c + mix(ids[later] * c ^ ids[later + Q])) for c in (_C1, _C2)]
+            columns = [pa.array(x.view(np.int64)) for x in names] + [batch.column(c).take(pa.array(row)) for c in ("window", "least")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(step)], ["string", "check", "window", "least", "step"])
 
     texts = _with_anchors(docs, wanted)
-    found = materialize(texts.mapInArrow(strings, "string long, doc_id long, version long, start long"), "substring-hot")
-    first = found.groupBy("string").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")).where("least < greatest")
-    # a table of its own, so that the join may split the rows of a string
-    first = materialize(first.select("string", "least"), "substring-hot-first")
-    return found.join(first, "string").where("least < doc_id").select("doc_id", "version", "start", (F.col("start") + LENGTH).alias("end"))
+    found = materialize(texts.mapInArrow(windows, "window binary, doc_id long, version long, start long, end long, bytes binary"), "substring-hot")
+    different = found.groupBy("window").agg(F.min("doc_id").alias("least"), F.first("bytes").alias("bytes"))
+    different = materialize(different, "substring-hot-windows")
+    cut = materialize(
+        different.mapInArrow(strings, "string long, check long, window binary, least long, step long"), "substring-hot-strings"
+    )
+    key = ["string", "check"]
+    owners = cut.groupBy(*key).agg(F.min("least").alias("owner"), F.max("least").alias("_greatest")).where("owner < _greatest")
+    shared = cut.join(materialize(owners.select(*key, "owner"), "substring-hot-first"), key).where("owner < least")
+    # a window has as many strings as bytes around an anchor at most
+    steps = shared.groupBy("window").agg(F.collect_list("step").alias("steps"))
+    known = materialize(different.select("window", "least").join(steps, "window", "left"), "substring-hot-least")
+    inside = F.transform("steps", lambda k: F.struct((F.col("start") + k).alias("start"), (F.col("start") + k + LENGTH).alias("end")))
+    whole = F.array(F.struct("start", "end"))
+    spans = F.when(F.col("least") < F.col("doc_id"), whole).otherwise(inside)
+    return found.drop("bytes").join(known, "window").where("least < doc_id or steps is not null").select("doc_id", "version", F.inline(spans))
 
 
 def _intervals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
