@@ -2,11 +2,12 @@
 
 Words are compared in lower case and without marks. Runs of ``SEED`` words of
 the test items are seeds. A document is paired with every item it shares a seed
-with, however common the seed is, so the verdict on a document does not depend
-on the others. Pairs whose item has too few words in common with the document
-to reach the threshold under any alignment are dropped; for the rest, the item
-is aligned with the words around the seeds. The score is the alignment's share
-of a perfect one.
+with: most seeds are rare and pair few, but common ones count as well, so the
+verdict on a document does not depend on the others. Pairs whose item has too
+few words in common with the document to reach the threshold under any
+alignment are dropped by a look at each item's words; only for the rest the
+places of the seeds are opened, and the item is aligned with the words around
+them. The score is the alignment's share of a perfect one.
 
 Items are taken in blocks, so what is sent to tasks is bounded by the block.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.storage import unused
 from eventmart.llm.textbytes import MARKS, Words, blocks, text_bytes
 
-SEED = 4
+SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 #: Bytes of item text in a block.
@@ -35,38 +36,87 @@ HITS = "array<struct<item_id:bigint,score:double,seeds:bigint,at_word:bigint>>"
 _HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("seeds", pa.int64()), ("at_word", pa.int64())]))
 
 
-def _seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, and of each run of SEED words its hash, text and first word. Shorter texts have none."""
+def _seeds(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, and of each run of ``size`` words its hash, text and first word. Shorter texts have none."""
     h, counts = words.hashes(), words.counts()
-    runs = np.maximum(counts - SEED + 1, 0)
+    runs = np.maximum(counts - size + 1, 0)
     text = np.repeat(np.arange(len(counts)), runs)
     at = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs) + words.first[text]
-    seed = np.zeros(len(at), np.uint64)
-    for k in range(SEED):
+    seed = np.full(len(at), size, np.uint64)
+    for k in range(size):
         seed = seed * np.uint64(0xD6E8FEB86659FD93) + h[at + k]
     return h, seed, text, at
 
 
 class Items:
-    """A block of test items: their words, and their seeds in order of hash."""
+    """A block of test items: their words, and their seeds by kind and by item.
+
+    An item of fewer than ``SEED`` words has one seed, its whole sequence.
+    """
 
     def __init__(self, ids: list[int | None], texts: pa.Array):
         words = Words(*text_bytes(texts), between=MARKS)
-        self.ids, self.first = ids, words.first
-        self.words, seed, item, at = _seeds(words)
-        order = np.argsort(seed, kind="stable")
-        self.seed, self.item, self.place = seed[order], item[order], (at - words.first[item])[order]
-        self.kinds, self.kind = np.unique(self.seed, return_inverse=True)
-        self.begin = np.searchsorted(self.seed, self.kinds)
-        self.end = np.append(self.begin[1:], len(self.seed))
-
-    def matches(self, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the given seeds are an item's, and their kinds."""
-        if not len(self.kinds):
-            return np.zeros(0, int), np.zeros(0, int)
-        kind = np.minimum(np.searchsorted(self.kinds, seed), len(self.kinds) - 1)
-        found = np.flatnonzero(self.kinds[kind] == seed)
-        return found, kind[found]
+        self.ids, self.first, self.words = ids, words.first, words.hashes()
+        size, parts = np.diff(self.first), []
+        self.sizes = [n for n in range(1, SEED + 1) if (size == n).any() or (n == SEED and (size > n).any())]
+        for n in self.sizes:
+            _, seed, item, at = _seeds(words, n)
+            mine = (size[item] == n) | ((n == SEED) & (size[item] > n))
+            parts.append((seed[mine], item[mine], (at - self.first[item])[mine]))
+        seed, item, place = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.kinds, kind = np.unique(seed, return_inverse=True)
+        # one row per (item, kind), with the first and the last place of the seed in the item
+        key, row = np.unique(item * np.int64(len(self.kinds) + 1) + kind, return_inverse=True)
+        self.item, self.kind = np.divmod(key, np.int64(len(self.kinds) + 1))
+        self.low, self.high = np.full(len(key), np.iinfo(np.int64).max), np.full(len(key), -1)
+        np.minimum.at(self.low, row, place)
+        np.maximum.at(self.high, row, place)
+        self.of_item = np.searchsorted(self.item, np.arange(len(size) + 1))
+        order = np.argsort(self.kind, kind="stable")
+        self.with_kind = self.item[order]
+        self.of_kind = np.searchsorted(self.kind[order], np.arange(len(self.kinds) + 1))
+        self.vocabulary, self.word = np.unique(self.words, return_inverse=True)
+
+    def found(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Kind, text and first word of every run of a block's words that is a seed, by text and kind."""
+        parts = []
+        for n in self.sizes:
+            _, seed, text, at = _seeds(words, n)
+            kind = np.minimum(np.searchsorted(self.kinds, seed), len(self.kinds) - 1)
+            same = np.flatnonzero(self.kinds[kind] == seed)
+            parts.append((kind[same], text[same], at[same]))
+        kind, text, at = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((at, kind, text))
+        return kind[order], text[order], at[order]
+
+    def sharing(self, kinds: np.ndarray) -> np.ndarray:
+        """The items that have one of the kinds; memory is bounded by the block's items and ``CELLS``."""
+        mark = np.zeros(len(self.ids), bool)
+        upto = np.cumsum(self.of_kind[kinds + 1] - self.of_kind[kinds])
+        start = 0
+        while start < len(kinds):
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CELLS, "right")))
+            k = kinds[start:end]
+            n = self.of_kind[k + 1] - self.of_kind[k]
+            mark[self.with_kind[np.repeat(self.of_kind[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())]] = True
+            start = end
+        return np.flatnonzero(mark)
+
+    def may_reach(self, chosen: np.ndarray, hashes: np.ndarray, threshold: float) -> np.ndarray:
+        """Of the chosen items those with so many words among the hashes that an alignment may reach the threshold."""
+        place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        present = np.zeros(len(self.vocabulary), np.int64)
+        present[place[self.vocabulary[place] == hashes]] = 1
+        out, n = [], np.diff(self.first)[chosen]
+        upto, start = np.cumsum(n), 0
+        while start < len(chosen):
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CELLS, "right")))
+            c, size = chosen[start:end], n[start:end]
+            begin = np.cumsum(size) - size
+            inside = present[self.word[np.arange(size.sum()) + np.repeat(self.first[c] - begin, size)]]
+            out.append(c[np.add.reduceat(inside, begin) >= threshold * size])
+            start = end
+        return np.concatenate(out) if out else chosen
 
 
 def align(queries: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,65 +153,95 @@ def align(queries: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndar
     return best, where
 
 
-def _may_reach(items: Items, hashes: np.ndarray, text: np.ndarray, doc: np.ndarray, item: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether so many words of each item are in the document (words ``hashes`` of ``text``) that an alignment may reach the threshold."""
-    odd = np.uint64(0xC2B2AE3D27D4EB4F)
-    have = np.unique(hashes + text.astype(np.uint64) * odd)
-    size = np.diff(items.first)[item]
-    upto = np.cumsum(size)
-    out, start = np.zeros(len(doc), bool), 0
-    while start < len(doc):
+class _Jobs:
+    """Alignments to do; they are done whenever ``CELLS`` words of text are waiting."""
+
+    def __init__(self, items: Items, threshold: float):
+        self.items, self.threshold, self.best = items, threshold, {}
+        self.jobs, self.queries, self.targets, self.waiting = [], [], [], 0
+
+    def add(self, doc: int, item: int, seeds: int, low: int, target: np.ndarray) -> None:
+        query = self.items.words[self.items.first[item] : self.items.first[item + 1]]
+        self.jobs.append((doc, item, seeds, low))
+        self.queries.append(query)
+        self.targets.append(target)
+        self.waiting += len(target)
+        if self.waiting >= CELLS:
+            self.done()
+
+    def done(self) -> dict:
+        """Per (doc, item) its best share, the seeds and the place, of those that reach the threshold."""
+        score, where = align(self.queries, self.targets)
+        for (doc, item, seeds, low), query, s, at in zip(self.jobs, self.queries, score.tolist(), where.tolist()):
+            share = s / (MATCH * len(query))
+            if share >= self.threshold and ((doc, item) not in self.best or share > self.best[doc, item][0]):
+                self.best[doc, item] = (share, seeds, low + at)
+        self.jobs, self.queries, self.targets, self.waiting = [], [], [], 0
+        return self.best
+
+
+def _windows(
+    items: Items, chosen: np.ndarray, kinds: np.ndarray, first: np.ndarray, size: np.ndarray, places: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Item, window and number of shared seeds of the chosen items, in parts of about ``CELLS`` places.
+
+    ``kinds``: those of a text; their ``size`` places begin at ``first`` in ``places``.
+    A window is four item lengths around a place where the item would begin.
+    Places of a seed inside an item are less than its length apart, so the
+    first and the last of them lead to all windows.
+    """
+    n = items.of_item[chosen + 1] - items.of_item[chosen]
+    row = np.repeat(items.of_item[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    have = np.minimum(np.searchsorted(kinds, items.kind[row]), len(kinds) - 1)
+    shared = kinds[have] == items.kind[row]
+    row, have = row[shared], have[shared]
+    length, n = np.diff(items.first), size[have]
+    seeds = np.bincount(items.item[row], minlength=len(items.ids))
+    upto, start = np.cumsum(n), 0
+    while start < len(row):
         end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CELLS, "right")))
-        n = size[start:end]
-        begin = np.cumsum(n) - n
-        key = items.words[np.arange(n.sum()) + np.repeat(items.first[item[start:end]] - begin, n)]
-        key = key + np.repeat(doc[start:end].astype(np.uint64) * odd, n)
-        inside = have[np.minimum(np.searchsorted(have, key), len(have) - 1)] == key
-        out[start:end] = np.add.reduceat(inside.astype(np.int64), begin) >= threshold * n
+        r, h, k = row[start:end], have[start:end], n[start:end]
+        place = places[np.arange(k.sum()) + np.repeat(first[h] - (np.cumsum(k) - k), k)]
+        item = np.repeat(items.item[r], k)
+        # a window is -1 at least, as a place inside an item is less than its length
+        found = np.concatenate([(place - np.repeat(x[r], k)) // length[item] for x in (items.low, items.high)]) + 1
+        wide = np.int64(found.max(initial=0) + 1)
+        item, window = np.divmod(np.unique(np.tile(item, 2) * wide + found), wide)
+        yield item, window - 1, seeds[item]
         start = end
-    return out
 
 
 def _hits(items: Items, column: pa.Array, threshold: float) -> list[list[dict]]:
-    """Contaminating items of each text."""
+    """Contaminating items of each text.
+
+    Text by text: the items that share a seed, of those the ones with enough
+    words in common, and only for these the places of the seeds.
+    """
     words = Words(*text_bytes(column), between=MARKS)
-    hashes, seed, text, at = _seeds(words)
     out: list[list[dict]] = [[] for _ in range(len(column))]
-    found, kind = items.matches(seed)
-    if not len(found):
+    kind, text, at = items.found(words)
+    if not len(kind):
         return out
-    n = items.end[kind] - items.begin[kind]
-    entry = np.repeat(items.begin[kind] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    found, kind = np.repeat(found, n), np.repeat(kind, n)
-    item, doc, place = items.item[entry], text[found], at[found] - words.first[text[found]]
-    pair, of = np.unique(doc * np.int64(len(items.ids)) + item, return_inverse=True)
-    kinds = np.unique(np.stack([of, kind]), axis=1)[0]
-    different = np.bincount(kinds, minlength=len(pair))
-    chosen = _may_reach(items, hashes, words.text_of(), *np.divmod(pair, len(items.ids)), threshold)
-    length = np.diff(items.first)[item]
-    # windows of four item lengths around each place where the item would begin
-    window = np.unique(np.stack([of, (place - items.place[entry]) // length])[:, chosen[of]], axis=1)
-    jobs, queries, targets, lows = [], [], [], []
-    for p, w in window.T.tolist():
-        d, i = divmod(int(pair[p]), len(items.ids))
-        size = int(items.first[i + 1] - items.first[i])
-        low = max(0, w * size - size)
-        lo, hi = words.first[d] + low, min(words.first[d] + (w + 3) * size, words.first[d + 1])
-        query, target = items.words[items.first[i] : items.first[i + 1]], hashes[lo:hi]
-        if np.isin(query, target).sum() < threshold * size:
-            continue
-        jobs.append((p, d, i, size))
-        queries.append(query)
-        targets.append(target)
-        lows.append(low)
-    score, where = align(queries, targets)
-    best: dict[int, tuple] = {}
-    for (p, d, i, size), s, at_word in zip(jobs, score.tolist(), (where + lows).tolist()):
-        share = s / (MATCH * size)
-        if share >= threshold and (p not in best or share > best[p][0]):
-            best[p] = (share, d, i, at_word)
-    for p, (share, d, i, at_word) in sorted(best.items()):
-        out[d].append({"item_id": items.ids[i], "score": share, "seeds": int(different[p]), "at_word": at_word})
+    hashes, length, jobs = words.hashes(), np.diff(items.first), _Jobs(items, threshold)
+    docs, begin = np.unique(text, return_index=True)
+    for d, lo, hi in zip(docs.tolist(), begin.tolist(), np.append(begin[1:], len(text)).tolist()):
+        mine = hashes[words.first[d] : words.first[d + 1]]
+        kinds, first = np.unique(kind[lo:hi], return_index=True)
+        size, places = np.diff(np.append(first, hi - lo)), at[lo:hi] - words.first[d]
+        chosen = items.may_reach(items.sharing(kinds), np.unique(mine), threshold)
+        for item, window, seeds in _windows(items, chosen, kinds, first, size, places):
+            # items of one length share their windows, so each window is looked at once for all of them
+            group = np.lexsort((item, window, length[item]))
+            item, window, seeds = item[group], window[group], seeds[group]
+            new = np.flatnonzero(np.r_[True, (window[1:] != window[:-1]) | (length[item][1:] != length[item][:-1])])
+            for s, e in zip(new.tolist(), np.append(new[1:], len(item)).tolist()):
+                n, w = int(length[item[s]]), int(window[s])
+                low = max(0, w * n - n)
+                target = mine[low : (w + 3) * n]
+                for i in items.may_reach(item[s:e], target, threshold).tolist():
+                    jobs.add(d, i, int(seeds[s + np.searchsorted(item[s:e], i)]), low, target)
+    for (d, i), (share, seeds, at_word) in sorted(jobs.done().items()):
+        out[d].append({"item_id": items.ids[i], "score": share, "seeds": seeds, "at_word": at_word})
     return out
 
 
@@ -170,11 +250,15 @@ def annotate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
 
     ``benchmark``: item_id, text. Each entry of the new array has item_id, score
     (0 to 1, ``threshold`` at least), seeds (different ones shared) and at_word
-    (where the best alignment ends). Items of fewer than ``SEED`` words, and
-    null or empty ones, are in no document; rows that repeat an item count
-    once. A null or empty text holds no item. Rows of ``docs`` are independent
-    of each other. Repeats of an item in a long text are aligned one by one.
+    (where the best alignment ends). An item of fewer than ``SEED`` words is
+    found by its whole sequence; null items and those without words are in no
+    document; rows that repeat an item count once. A null or empty text holds no
+    item. Rows of ``docs`` are independent of each other. Repeats of an item in
+    a long text are aligned one by one. ``column`` must not be a column of
+    ``docs``.
     """
+    if unused(column, docs) != column:
+        raise ValueError(f"the table has a column {column} already")
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks, spark = max(1, -(-size // ITEM_BYTES)), docs.sparkSession
