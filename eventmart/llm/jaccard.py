@@ -286,8 +286,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row of ``docs`` with the least doc_id of each class, with its columns. Rows without a doc_id stay."""
+    """One row of ``docs`` per class, of the least doc_id, with its columns. Of rows that repeat that doc_id one stays. Rows without a doc_id stay."""
     key = unused("_id", docs)
     heads = near_duplicates(docs).where("component_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(heads, F.col("doc_id").cast("long") == F.col(key)).drop(key)
+    kept = docs.join(heads, F.col("doc_id").cast("long") == F.col(key)).dropDuplicates([key]).drop(key)
     return kept.unionByName(docs.where("doc_id is null"))

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from eventmart.llm import decontaminate, graph, jaccard, substrings
 from tests.llm import tables
@@ -223,3 +224,65 @@ def test_alignment_equals_plain_dynamic_programming():
 
     got, _ = decontaminate.align([np.array(x, np.uint64) for x in a], [np.array(y, np.uint64) for y in b])
     assert got.tolist() == [plain(x, y) for x, y in zip(a, b)]
+
+
+def _bench(spark, items):
+    return spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+
+
+def test_short_items_are_found_by_their_whole_sequence(spark):
+    docs = tables.docs(spark, [(1, "x solo y", *[None] * 5), (2, "twin words here", *[None] * 5), (3, "words twin", *[None] * 5), (4, None, *[None] * 5)])
+    found = decontaminate.contaminated(docs, _bench(spark, ["Solo!", "twin words", "", "...", "three words only"])).collect()
+    assert sorted((r.doc_id, r.item_id, r.score) for r in found) == [(1, 0, 1.0), (2, 1, 1.0)]
+
+
+def test_recall_of_edited_copies_against_aligning_all_pairs(spark):
+    """Items with words changed, left out or put in at random, and every fourth word changed; the same pairs as aligning every pair."""
+    rng = random.Random(11)
+    items = [tables.random_text(rng, rng.randrange(8, 40)) for _ in range(25)]
+    rows = []
+    for i in range(150):
+        words = rng.choice(items).split()
+        if i % 5 == 0:
+            words = [("edit" + str(i) if k % 4 == 3 else w) for k, w in enumerate(words)]
+        else:
+            for _ in range(rng.randrange(0, len(words) // 2)):
+                at = rng.randrange(len(words))
+                words[at : at + 1] = rng.choice([[], ["new"], [words[at], "more"]]) if len(words) > 2 else words[at : at + 1]
+        rows.append((i, " ".join([tables.random_text(rng, 30), *words, tables.random_text(rng, 20)]), *[None] * 5))
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(tables.docs(spark, rows), _bench(spark, items)).collect()}
+    hashed = [[hash(w) & (2**63 - 1) for w in t.split()] for t in items]
+    every = {}
+    for doc_id, text, *_ in rows:
+        target = np.array([hash(w) & (2**63 - 1) for w in text.split()], np.uint64)
+        score, _ = decontaminate.align([np.array(h, np.uint64) for h in hashed], [target] * len(items))
+        every |= {(doc_id, i): s / (2 * len(h)) for i, (s, h) in enumerate(zip(score.tolist(), hashed)) if s >= len(h)}
+    assert len(every) > 120 and set(found) <= set(every)
+    assert len(found) >= 0.95 * len(every)
+    assert all(found[p] <= every[p] for p in found)
+    fourth = [p for p in every if p[0] % 5 == 0]
+    assert set(fourth) <= set(found)
+
+
+def test_a_template_opening_in_all_items_and_many_times_in_a_text(spark):
+    rng = random.Random(12)
+    opening = "which of the following statements about it is"
+    items = [f"{opening} {tables.random_text(rng, 15, 5000)}" for _ in range(2000)]
+    text = pa.array([" ".join([opening] * 200), f"{opening} {items[3]} {opening}", "nothing of it", None])
+    found = decontaminate._hits(decontaminate.Items(list(range(2000)), pa.array(items)), text, 0.5)
+    assert [[h["item_id"] for h in hits] for hits in found] == [[], [3], [], []]
+
+
+def test_annotate_refuses_a_column_that_is_there(spark):
+    docs = tables.docs(spark).withColumnRenamed("_id", "Contamination")
+    with pytest.raises(ValueError):
+        decontaminate.annotate(docs, _bench(spark, ["a b c"]))
+    named = tables.docs(spark).withColumnRenamed("_id", "_contamination")
+    assert decontaminate.clean(named, _bench(spark, ["a b c"])).columns == named.columns
+
+
+def test_one_of_each_keeps_one_of_equal_rows(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, *[None] * 5)] * 3 + [(2, text, *[None] * 5), (None, text, *[None] * 5), (None, text, *[None] * 5), (3, None, *[None] * 5)]
+    kept = [r.doc_id for r in jaccard.one_of_each(tables.docs(spark, rows)).collect()]
+    assert sorted(kept, key=str) == [1, 3, None, None]
