@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.sampling import key_remainder, per_label
 from eventmart.llm.textbytes import BLOCK_BYTES, LOWER, Words, blocks, text_bytes
 
-#: Hashed n-grams, their lengths in bytes, dimensions, words of a passage, training texts of each label.
+#: Hashed n-grams (16 bits at most), their lengths in bytes, dimensions, words of a passage, training texts of each label.
 BUCKETS_LOG2 = 16
 NGRAMS = (3, 4, 5, 6)
 DIM = 8
@@ -50,7 +50,7 @@ class Passages:
         for n in range(1, max(NGRAMS) + 1):
             code[: len(padded) - n + 1] |= padded[n - 1 :].astype(np.uint64) << np.uint64(8 * (n - 1))
             if n in NGRAMS:
-                self.hashes[n] = ((code + np.uint64(n)) * _ODD >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int32)
+                self.hashes[n] = ((code + np.uint64(n)) * _ODD >> np.uint64(64 - BUCKETS_LOG2)).astype(np.uint16)
         self.grams = sum(np.maximum(self.end - self.start - n + 1, 0) for n in NGRAMS)
         first, counts = words.first[:-1], words.counts()
         half = PASSAGE // 2
