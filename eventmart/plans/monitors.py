@@ -245,11 +245,13 @@ def run_cost(
     )
     if by_time:
         # A run without an end is still going. Runs are cut to the window, so a
-        # long one is laid out over the window's days only.
+        # long one is laid out over the window's days only. One that ended just
+        # as the window starts has no part in it; cut, it would be an instant.
         first, last = _at(start).cast("timestamp"), _at(end).cast("timestamp")
         until = F.coalesce("period_end_time", last)
+        inside = (until > first) | ((until == first) & (F.col("period_start_time") >= first))
         spans = (
-            runs.filter((F.col("period_start_time") < last) & (until >= first))
+            runs.filter((F.col("period_start_time") < last) & inside)
             .select(
                 "pipeline_id",
                 "update_id",

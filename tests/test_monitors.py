@@ -129,6 +129,23 @@ def test_cost(spark, pipelines, runs):
     )
 
 
+def test_a_run_that_ended_as_the_window_starts_costs_nothing(spark, pipelines):
+    before = dt.datetime(2024, 4, 30, 23)
+    runs = spark.createDataFrame(
+        [("p1", "over", before, START), ("p1", "going", before, at(1)), ("p1", "instant", START, START)],
+        "pipeline_id string, update_id string, period_start_time timestamp, period_end_time timestamp",
+    )
+    usage = spark.createDataFrame(
+        [("s", dt.date(2024, 5, 1), START, at(1), Decimal("1.000"), "w", ("p1",), "DLT")],
+        "sku_name string, usage_date date, usage_start_time timestamp, usage_end_time timestamp, "
+        "usage_quantity decimal(10,3), workspace_id string, usage_metadata struct<dlt_pipeline_id:string>, "
+        "billing_origin_product string",
+    )
+    prices = spark.createDataFrame([("s", (Decimal("2.000"),))], "sku_name string, pricing struct<default:decimal(10,3)>")
+    got = run_cost(usage, pipelines, prices, runs, None, START, END)
+    assert sorted(r.update_id for r in got.collect()) == ["going", "instant"]
+
+
 def test_event_logs_are_found_by_name(spark, pipelines):
     log = spark.createDataFrame(
         [("flow_definition", ("u1", "batch"), DEFINITION)],
