@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -16,8 +17,11 @@ from eventmart.session import ensure_checkpoint_dir
 from eventmart.sources.catalog import keep_buckets, overwrite_partitions, read_table, table_exists
 
 
-# Suffix of the table with the last sequence of each key.
+# Suffixes of the tables with the last sequence of each key and with the staged files that were taken in.
 STATE = "__last"
+FILES = "__files"
+# A path has this or not, by where it is asked for.
+EMPTY_HOST = re.compile(r"^(\w+):///")
 
 
 def state_table(table: str) -> str:
@@ -109,17 +113,56 @@ def run_history(
     buckets: int = BUCKETS,
     location: str | None = None,
 ) -> StreamingQuery:
-    """Streams the staged folder into the history table, one micro-batch at a time."""
+    """Streams the staged folder into the history table, one micro-batch at a time.
+
+    Taking changes in rewrites every bucket they touch, so a micro-batch with
+    new files takes in all files that wait in the folder, not its own only: a
+    backlog costs one rewrite, not one for each of its micro-batches. A table
+    beside the history names the files taken in; micro-batches of such files
+    alone change nothing.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    taken: set[str] | None = None
 
     def take_in(batch: DataFrame, _: int) -> None:
-        def staged() -> DataFrame:
-            return batch.sparkSession.read.schema(schema).parquet(staged_folder)
+        nonlocal taken
+        session = batch.sparkSession
 
-        apply_batch(batch, staged, table, keys, sequence_by, track, buckets, location)
-
-    writer = reader.parquet(staged_folder).writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
+        def staged() -> DataFrame:
+            return session.read.schema(schema).parquet(staged_folder)
+
+        if not table_exists(session, table):
+            taken = None
+        elif taken is None:
+            taken = _names(read_table(session, f"{table}{FILES}"), "file") if table_exists(session, f"{table}{FILES}") else set()
+        new = _names(batch, "__file")
+        if taken is not None:
+            new -= taken
+            if not new:
+                return
+        # Names of files only; the stream's own log of them is in the driver, too.
+        found = {EMPTY_HOST.sub(r"\1:/", f) for f in staged().inputFiles()}
+        if not new <= found:
+            raise LookupError(f"staged files are gone: {sorted(new - found)[:3]}")
+        waiting = sorted(found - (taken or set()))
+        rows = staged().where(_file().isin(waiting)) if taken else staged()
+        apply_batch(rows, staged, table, keys, sequence_by, track, buckets, location)
+        writer = session.createDataFrame([(f,) for f in waiting], "file string").coalesce(1).write.mode("append" if taken else "overwrite")
+        (writer.option("path", f"{location}{FILES}") if location else writer).saveAsTable(f"{table}{FILES}")
+        taken = {*(taken or ()), *waiting}
+
+    rows = reader.parquet(staged_folder).select("*", _file().alias("__file"))
+    writer = rows.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def _file() -> Column:
+    """The path of a row's file."""
+    return F.regexp_replace("_metadata.file_path", EMPTY_HOST.pattern, "$1:/")
+
+
+def _names(df: DataFrame, column: str) -> set[str]:
+    return {r[0] for r in df.select(column).distinct().collect()}

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
 import uuid
 
 import pytest
@@ -206,6 +207,42 @@ def test_history_stream_equals_batch(spark, root):
     assert rows(read_table(spark, table).drop(BUCKET)) == expected
 
 
+def test_a_backlog_is_taken_in_at_once(spark, root, monkeypatch):
+    changes = _event_changes(spark, SMALL)
+    staged, table, calls = f"{root}/staged files", f"history_{uuid.uuid4().hex[:8]}", []
+    rule = (["user_id"], ["ts", "event_id"], ["event_type"])
+
+    def counted(batch, *args):
+        calls.append(batch.count())
+        return apply_batch(batch, *args)
+
+    monkeypatch.setattr("eventmart.streaming.history.apply_batch", counted)
+
+    def stream(checkpoint):
+        run_history(
+            spark, staged, changes.schema, table, f"{root}/{checkpoint}", *rule, files_per_trigger=1, buckets=4, location=f"{root}/history"
+        ).awaitTermination()
+        return rows(read_table(spark, table).drop(BUCKET))
+
+    late = changes.filter("event_type in ('view', 'click')")
+    first = changes.filter("event_type not in ('view', 'click')")
+    # Six files wait: one rewrite, not six.
+    first.repartition(6).write.parquet(staged)
+    assert stream("cp") == rows(scd2(first, *rule))
+    assert calls == [first.count()]
+    # Files that arrive later, with late changes for the same keys, are read without the others.
+    late.repartition(3).write.mode("append").parquet(staged)
+    expected = rows(scd2(changes, *rule))
+    assert stream("cp") == expected
+    assert calls == [first.count(), late.count()]
+    # From a new checkpoint all files come again; none is taken in twice.
+    assert stream("cp2") == expected and len(calls) == 2
+    # Without the history they all are.
+    spark.sql(f"drop table {table}")
+    shutil.rmtree(f"{root}/history")
+    assert stream("cp3") == expected and calls[2:] == [changes.count()]
+
+
 def test_batches_in_order_read_no_staged_changes(spark):
     changes = _event_changes(spark, SMALL)
     table = f"history_{uuid.uuid4().hex[:8]}"
