@@ -28,6 +28,8 @@ NGRAMS = (3, 4, 5, 6)
 DIM = 8
 PASSAGE = 8
 SAMPLE_PER_LABEL = {1: 1300, 0: 2200}
+#: Bytes whose n-grams are hashed at once.
+HASHED = 1 << 17
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MODEL = ["value", "bias", "scale", "shift"]
@@ -46,11 +48,15 @@ class Passages:
         padded[1:-1] = LOWER[data]
         inner = padded < 0x21
         padded[inner] = 0x20
-        self.hashes, code = {}, np.zeros(len(padded), np.uint64)
-        for n in range(1, max(NGRAMS) + 1):
-            code[: len(padded) - n + 1] |= padded[n - 1 :].astype(np.uint64) << np.uint64(8 * (n - 1))
-            if n in NGRAMS:
-                self.hashes[n] = ((code + np.uint64(n)) * _ODD >> np.uint64(64 - BUCKETS_LOG2)).astype(np.uint16)
+        self.hashes = {n: np.empty(len(padded), np.uint16) for n in NGRAMS}
+        for at in range(0, len(padded), HASHED):  # 64-bit codes of a part of the bytes at a time
+            part = padded[at : at + HASHED + max(NGRAMS) - 1].astype(np.uint64)
+            code = np.zeros(len(part), np.uint64)
+            for n in range(1, max(NGRAMS) + 1):
+                code[: max(0, len(part) - n + 1)] |= part[n - 1 :] << np.uint64(8 * (n - 1))
+                if n in NGRAMS:
+                    hashed = (code[:HASHED] + np.uint64(n)) * _ODD >> np.uint64(64 - BUCKETS_LOG2)
+                    self.hashes[n][at : at + HASHED] = hashed
         self.grams = sum(np.maximum(self.end - self.start - n + 1, 0) for n in NGRAMS)
         first, counts = words.first[:-1], words.counts()
         half = PASSAGE // 2
@@ -65,7 +71,8 @@ class Passages:
         """Softmax margin of each passage; ``value``: margin of each n-gram bucket."""
         words = np.zeros(len(self.start))
         for n, h in self.hashes.items():
-            total = np.concatenate(([0.0], np.cumsum(value[h], dtype=np.float64)))
+            total = np.zeros(len(h) + 1)
+            np.cumsum(value[h], dtype=np.float64, out=total[1:])
             last = np.maximum(self.end - n + 1, self.start)
             words += total[last] - total[self.start]
         total = np.concatenate(([0.0], np.cumsum(words / np.maximum(self.grams, 1))))
@@ -103,15 +110,16 @@ class ToxicityModel:
         if toxic.min(initial=1) == toxic.max(initial=0) or len(toxic) < 8:
             return  # nothing to tell apart: every text has the share of toxic ones
         rng = np.random.default_rng(seed)
-        parts = [Passages(b.column("text")) for b in blocks([pa.record_batch([texts], ["text"])], "text")]
-        sizes = np.cumsum([0] + [len(p.first_passage) for p in parts])
+        # blocks are taken apart anew in each turn, so that the n-grams of one are held at a time
+        columns = [b.column("text") for b in blocks([pa.record_batch([texts], ["text"])], "text")]
+        sizes = np.cumsum([0] + [len(c) for c in columns])
         fits = rng.random(len(toxic)) < 0.75
         embedding = rng.normal(0, 0.1, (1 << BUCKETS_LOG2, DIM)).astype(np.float32)
         weight, bias = rng.normal(0, 0.1, DIM).astype(np.float32), 0.0
         square_e, square_w, square_b = np.full_like(embedding, 1e-8), np.full_like(weight, 1e-8), 1e-8
         for turn in range(5):
             value, bags, labels = embedding @ weight, [], []
-            for p, begin, end in zip(parts, sizes, sizes[1:]):
+            for p, begin, end in zip(map(Passages, columns), sizes, sizes[1:]):
                 y, fit = toxic[begin:end], fits[begin:end]
                 if turn:
                     _, worst = p.worst(p.margins(value, bias))
@@ -142,8 +150,9 @@ class ToxicityModel:
                 embedding -= 0.3 * grad_e / np.sqrt(square_e)
                 weight -= 0.3 * grad_w / np.sqrt(square_w)
                 bias -= 0.3 * grad_b / np.sqrt(square_b)
+            del which, bucket, part, p
         self.value, self.bias = (embedding @ weight).astype(np.float32), float(bias)
-        top = np.concatenate([p.worst(p.margins(self.value, self.bias))[0] for p in parts])
+        top = np.concatenate([p.worst(p.margins(self.value, self.bias))[0] for p in map(Passages, columns)])
         self.scale, self.shift = self._calibrate(top[~fits], toxic[~fits], share)
 
     @staticmethod

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import random
+import weakref
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from eventmart.llm import htmltext, langid, lm, toxicity
+from eventmart.llm import htmltext, langid, lm, textbytes, toxicity
 from eventmart.llm.queries import word_tokenizer
 from tests.conftest import SMALL
 from tests.llm import tables
@@ -109,6 +110,34 @@ def test_passage_margins_equal_plain_averages():
     assert [len(c) for c in covered] == [1, 3, 8, 9, 12, 31, 0, 0]
 
 
+def test_toxicity_trains_with_the_ngrams_of_one_block_at_a_time(monkeypatch):
+    live, most, made = weakref.WeakSet(), [], []
+
+    class Counted(toxicity.Passages):
+        def __init__(self, column):
+            live.add(self)
+            most.append(len(live))
+            made.append(len(column))
+            super().__init__(column)
+
+    rng = random.Random(9)
+    texts = pa.array([" ".join(rng.choice(["good", "bad", "fine", "day"]) for _ in range(60)) for _ in range(200)])
+    toxic = np.arange(200) % 2
+    whole = toxicity.ToxicityModel(texts, toxic, 0.5)
+    monkeypatch.setattr(toxicity, "Passages", Counted)
+    monkeypatch.setattr(toxicity, "blocks", lambda batches, column: textbytes.blocks(batches, column, 4000))
+    toxicity.ToxicityModel(texts, toxic, 0.5)
+    # the one before goes when the next is there
+    assert len(made) > 10 and max(most) <= 2
+    # parts of the bytes have the same n-grams
+    hashes = toxicity.Passages(texts).hashes
+    monkeypatch.setattr(toxicity, "HASHED", 7)
+    assert all((hashes[n] == h).all() for n, h in toxicity.Passages(texts).hashes.items())
+    monkeypatch.undo()
+    monkeypatch.setattr(toxicity, "HASHED", 7)
+    assert (toxicity.ToxicityModel(texts, toxic, 0.5).value == whole.value).all()
+
+
 def test_windows_score_every_id_once():
     n = np.array([1, 2, 24, 25, 31, 100])
     place, begin, end = lm._windows(n)
