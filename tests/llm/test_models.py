@@ -219,6 +219,31 @@ def test_the_model_learns_from_all_training_texts(spark, monkeypatch):
     assert scorer.model.log_probabilities(ids, n).mean() > -0.9
 
 
+@pytest.mark.parametrize("top, share", [(1 << 18, 20_000), (2, 20_000), (2, 20)])
+def test_the_weight_is_fitted_on_all_training_tokens(spark, monkeypatch, top, share):
+    monkeypatch.setattr(lm, "TOP_WORDS", top)
+    monkeypatch.setattr(lm, "SHARE", share)
+    monkeypatch.setattr(lm, "STEPS", 20)
+    seen = []
+    monkeypatch.setattr(lm.Scorer, "fit_weight", lambda s, bins, n, fit=lm.Scorer.fit_weight: (seen.append((bins, n)), fit(s, bins, n)))
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["red", "green", "blue", "x1y"]) for _ in range(20)) for _ in range(600)] + ["", "once"]
+    training = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    scorer, rare = lm.train(training, word_tokenizer(), 49407)
+    (bins, n), = seen
+    assert n.sum() == scorer.n_tokens == 600 * 21 + 3 and scorer.learned == 602
+    if share == 20:
+        # in several rounds each id is learned once, and the model itself is asked
+        log_p, count, text, _, hashes = scorer.parts(pa.array(texts))
+        known = {r.hash: r.n for r in rare.collect()}
+        for i in np.flatnonzero(count < 0):
+            count[i] = known[int(hashes[i - text[i]].view(np.int64))]
+        part, p, w = (np.maximum(count - 1, 0) + 0.1) / scorer.total, np.exp(log_p), 0.5
+        for _ in range(30):
+            w = float(np.clip((w * part / (w * part + (1 - w) * p)).mean(), 0.02, 0.98))
+        assert math.isclose(scorer.weight, w, abs_tol=1e-3)
+
+
 def _weighing(training):
     order = lm.F.xxhash64(lm.F.lit(17), "doc_id")
     rows = training.select("doc_id").where("doc_id is not null").distinct().orderBy(order, "doc_id").limit(lm.WEIGHT_DOCS)
